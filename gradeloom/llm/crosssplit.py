@@ -156,8 +156,9 @@ def substrings(ws: list[str]) -> list[str]:
 
 def standing_lines(df: DataFrame, text: str) -> list[list[str]]:
     """Closing lines that end at least STANDING different texts, as words."""
-    body = F.regexp_replace(F.trim(F.col(text)), r"[^\n]*$", "")
-    line = F.lower(F.trim(F.element_at(F.split(F.trim(F.col(text)), "\n"), -1)))
+    whole = F.trim(F.col(text))
+    last = F.substring_index(whole, "\n", -1)
+    body, line = F.left(whole, F.length(whole) - F.length(last)), F.lower(F.trim(last))
     lines = df.filter(F.col(text).contains("\n")).select(line.alias("line"), F.xxhash64(body).alias("h")).filter("length(line) <= 300")
     # two steps: a line that closes a third of all texts is counted in many parts
     parts = lines.distinct().groupBy("line", F.pmod("h", F.lit(64)).alias("part")).count()
