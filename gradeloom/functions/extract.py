@@ -1,0 +1,231 @@
+"""Answers and values taken out of model texts."""
+
+from __future__ import annotations
+
+import ast
+import json
+import re
+import unicodedata
+from collections import Counter
+
+_MARK = re.compile(r"(?i)(?:final\s+answer|answer)\s*[*_`]*\s*:\s*[*_`]*")
+_WRAPS = ("**", "__", "`", "*")
+_FENCE = re.compile(r"```[^\n`]*\n(.*?)```", re.S)
+
+
+def answer_text(text: str | None) -> str | None:
+    """What follows the last closing think tag; null if a tag stays open or nothing follows it."""
+    if text is None:
+        return None
+    head, tag, tail = text.rpartition("</think>")
+    if not tag:
+        return None if "<think>" in text else text
+    if "<think>" in tail:
+        return None
+    return tail.strip() or None
+
+
+def unemphasize(value: str) -> str:
+    """Balanced wrappers around the whole value removed until nothing changes; a closing mark is kept."""
+    value = value.strip()
+    while True:
+        mark = value[-1:] if value[-1:] in ".,;:!?" else ""
+        core = value[: -1] if mark else value
+        for w in _WRAPS:
+            if len(core) > 2 * len(w) and core.startswith(w) and core.endswith(w) and w not in core[len(w) : -len(w)]:
+                value = core[len(w) : -len(w)].strip() + mark
+                break
+        else:
+            return value
+
+
+def final_block(text: str) -> str | None:
+    """Everything after the last 'final answer:' or 'answer:'."""
+    at = None
+    for m in _MARK.finditer(text):
+        at = m.end()
+    return None if at is None else text[at:]
+
+
+def final_line(text: str) -> str | None:
+    """First line with content after the last mark, without emphasis."""
+    block = final_block(text)
+    if block is None:
+        return None
+    return next((unemphasize(x) for x in block.splitlines() if x.strip()), None)
+
+
+def _balanced(text: str, start: int) -> int:
+    """Index after the brace that closes the one before start; -1 if none does. Escaped braces do not count."""
+    depth, i = 1, start
+    while i < len(text):
+        if text[i] == "\\":
+            i += 2
+            continue
+        depth += {"{": 1, "}": -1}.get(text[i], 0)
+        i += 1
+        if not depth:
+            return i
+    return -1
+
+
+def last_boxed(text: str) -> str | None:
+    """Content of the last \\boxed{...}, to any depth."""
+    found = None
+    for m in re.finditer(r"\\boxed\s*\{", text):
+        end = _balanced(text, m.end())
+        if end > 0:
+            found = text[m.end() : end - 1]
+    return found
+
+
+def by_pattern(text: str, pattern: str) -> str | None:
+    """Last match of a data set's own pattern: its first group, else the whole match; an invalid pattern finds nothing."""
+    try:
+        found = list(re.finditer(pattern, text))
+    except re.error:
+        return None
+    if not found:
+        return None
+    m = found[-1]
+    return next((g for g in m.groups() if g is not None), m.group())
+
+
+def extract_final(text: str | None, pattern: str | None = None) -> str | None:
+    """Boxed value, else the data set's pattern, else the final line, else the whole text."""
+    if text is None:
+        return None
+    for got in (last_boxed(text), by_pattern(text, pattern) if pattern else None, final_line(text)):
+        if got is not None and got.strip():
+            return got.strip()
+    return text.strip()
+
+
+def choice_label(text: str | None, labels: list[str]) -> str | None:
+    """The label that the answer gives first; null when it names two ('B or C') or none."""
+    got = extract_final(text)
+    if not got:
+        return None
+    m = re.match(r"[\s(\[*]*([A-Za-z0-9]+)\b(.*)", got, re.S)
+    if not m or m.group(1).upper() not in {x.upper() for x in labels}:
+        return None
+    if re.match(r"[\s)\].,*]*(?:or|and|/|,|&)\s*\(?[A-Za-z]\b\W*$", m.group(2)):
+        return None
+    return m.group(1).upper()
+
+
+def norm_answer(text: str) -> str:
+    """Case folded, signs and English articles removed, blanks collapsed."""
+    text = re.sub(r"[^\w\s]", "", unicodedata.normalize("NFKC", text).casefold())
+    return " ".join(w for w in text.split() if w not in ("a", "an", "the"))
+
+
+def exact_match(answer: str, aliases: list[str]) -> bool:
+    return norm_answer(answer) in {norm_answer(a) for a in aliases}
+
+
+def answer_f1(answer: str, aliases: list[str]) -> float:
+    """Best F1 of words over the aliases; yes, no and noanswer must be equal."""
+    best, p = 0.0, norm_answer(answer)
+    for a in aliases:
+        g = norm_answer(a)
+        if {p, g} & {"yes", "no", "noanswer"}:
+            best = max(best, float(p == g))
+            continue
+        same = (Counter(p.split()) & Counter(g.split())).total()
+        if same:
+            r, q = same / len(g.split()), same / len(p.split())
+            best = max(best, 2 * r * q / (r + q))
+    return best
+
+
+def _json_values(text: str) -> list[str]:
+    """Embedded objects and lists, from the first on; none inside another."""
+    out, at, decoder = [], 0, json.JSONDecoder()
+    for m in re.finditer(r"[\[{]", text):
+        if m.start() < at:
+            continue
+        try:
+            _, at = decoder.raw_decode(text, m.start())
+        except ValueError:
+            continue
+        out.append(text[m.start() : at])
+    return out
+
+
+def structured_candidates(text: str) -> list[str]:
+    """Fenced blocks from the last, the whole text, then embedded JSON from the last; distinct."""
+    return list(dict.fromkeys(x.strip() for x in [*reversed(_FENCE.findall(text)), text, *reversed(_json_values(text))] if x.strip()))
+
+
+def candidate_code(text: str, entry_point: str | None = None) -> str:
+    """Last fenced block that defines the entry point (or reads input), an open fence counting; else the whole text."""
+    blocks = re.findall(r"```(?:python|py)?[^\n]*\n(.*?)(?:```|\Z)", text, re.S)
+    need = rf"\bdef\s+{re.escape(entry_point)}\b" if entry_point else r"\binput\s*\(|\bsys\.stdin\b"
+    return next((b for b in reversed(blocks) if re.search(need, b)), text)
+
+
+def code_problem(code: str, entry_point: str | None = None) -> str | None:
+    """'syntax' if it does not parse, 'missing entry point' if it defines none of that name."""
+    try:
+        tree = ast.parse(code)
+    except (SyntaxError, ValueError):
+        return "syntax"
+    if entry_point and not any(isinstance(n, ast.FunctionDef) and n.name == entry_point for n in ast.walk(tree)):
+        return "missing entry point"
+    return None
+
+
+def _unique(pairs):
+    if len({k for k, _ in pairs}) < len(pairs):
+        raise ValueError("a key occurs twice")
+    return dict(pairs)
+
+
+def reply_json(text: str):
+    """The object that a judge replied: the last fence, the whole text, or the last object in it. Lone backslashes are
+    repaired; repeated keys and NaN are errors."""
+    fences = _FENCE.findall(text)
+    embedded = [x for x in _json_values(text) if x.startswith("{")]
+    tries = [*(fences[-1:]), text, *embedded[-1:]]
+
+    def no(x):
+        raise ValueError(f"{x} is no value")
+
+    why: Exception = ValueError("empty")
+    for t in tries:
+        for body in (t, re.sub(r'\\(?!["\\/bfnrtu])', r"\\\\", t)):
+            try:
+                got = json.loads(body, object_pairs_hook=_unique, parse_constant=no)
+            except ValueError as e:
+                why = e
+                if "twice" in str(e) or "no value" in str(e):
+                    raise
+                continue
+            if isinstance(got, dict):
+                return got
+    raise ValueError(str(why))
+
+
+def judged_boolean(x) -> bool:
+    if isinstance(x, bool):
+        return x
+    if isinstance(x, str) and x.strip().lower() in ("true", "false"):
+        return x.strip().lower() == "true"
+    raise ValueError("not a boolean")
+
+
+def judged_score(x) -> int:
+    """1 to 5; integral numbers and numerals count, booleans and fractions don't."""
+    if isinstance(x, str) and re.fullmatch(r"\s*[1-5]\s*", x):
+        x = int(x)
+    if isinstance(x, bool) or not isinstance(x, (int, float)) or x != x or x != int(x) or not 1 <= x <= 5:
+        raise ValueError("not a score")
+    return int(x)
+
+
+def repetition(texts: list[str | None]) -> float:
+    """1 - distinct / all 4-grams of words over the joined turns; 0 for fewer than 4 words."""
+    w = " ".join(t for t in texts if t).split()
+    g = [tuple(w[i : i + 4]) for i in range(len(w) - 3)]
+    return 1 - len(set(g)) / len(g) if g else 0.0
