@@ -8,7 +8,7 @@ import re
 import unicodedata
 from collections import Counter
 
-_MARK = re.compile(r"(?i)(?:final\s+answer|answer)\s*[*_`]*\s*:\s*[*_`]*")
+_MARK = re.compile(r"(?i)(?:final\s+answer|answer)[*_`]*\s*:[*_`]*")
 _WRAPS = ("**", "__", "`", "*")
 _FENCE = re.compile(r"```[^\n`]*\n(.*?)```", re.S)
 
