@@ -121,7 +121,7 @@ def allocate(bins: pd.DataFrame, parts: dict[str, float]) -> list[str]:
     out = [""] * len(bins)
     for i in np.argsort(-bins["weight"].to_numpy(), kind="stable"):
         s, w = bins["stratum"].iloc[i], bins["weight"].iloc[i]
-        lack = (share * per[s] - in_stratum[s]) / max(per[s], 1) + 0.25 * (share * total - all_in) / max(total, 1)
+        lack = (share * per[s] - in_stratum[s]) / max(per[s], 1) + (share * total - all_in) / max(total, 1)
         # a bin that fits into what is lacking goes where most is lacking in relation to the goal
         k = int(np.argmax(lack / np.maximum(share, 1e-12)))
         out[i] = names[k]

@@ -27,6 +27,8 @@ def rake(counts: np.ndarray, member: list[np.ndarray], goals: list[np.ndarray],
     for _ in range(rounds):
         worst = 0.0
         for of, goal in zip(member, goals):
+            if not len(goal):
+                continue
             inside = of >= 0
             free = inside & (p < 1)
             now = np.bincount(of[inside], (p * counts)[inside], len(goal))
@@ -84,6 +86,9 @@ def proportional_sample(df: DataFrame, targets: DataFrame, levels: Sequence[str]
                 goal[at[g.key]] = min(need[lv, g.key], have[at[g.key]])
         level_goals.append(goal)
         member.append(np.array([at[c[keys[i]]] if c[keys[i]] is not None else -1 for c in cells], int))
+    # the size itself is a last level of one category, so that conflicting targets do not shrink the sample
+    member.append(np.zeros(len(cells), int))
+    level_goals.append(np.array([min(size, float(total))]))
     p = rake(counts, member, level_goals) if len(cells) and size else np.zeros(len(cells))
     rate = np.minimum(UNIT, np.round(p * UNIT)).astype("int64")
     before = np.concatenate([[0], np.cumsum(rate * counts.astype("int64"))])[:-1] if len(cells) else np.zeros(0, "int64")
