@@ -2,28 +2,59 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.ids import shingles_col, sketch_col
+from gradeloom.functions.ids import shingles_col
 from gradeloom.session import cut
 
 #: Jaccard similarity of 5-word shingles from which texts count as near.
 NEAR = 0.85
+#: Cells in which shingles are counted to order them by rarity.
+CELLS = 1 << 18
 
 
 def near_pairs(left: DataFrame, right: DataFrame, ident: str, text: str, least: float = NEAR) -> DataFrame:
-    """`a` (left id), `b` (right id), `similarity` for texts that share one of the 16 smallest shingle hashes and have a
-    Jaccard similarity of at least `least`. Equal texts are compared once, by hash, so copies never multiply candidates:
-    the result has a row per pair of different or equal texts' representatives (the smallest id of each text). Texts of
-    fewer than 10 shingles and null texts match nothing."""
+    """`a` (left id), `b` (right id), `similarity`: all pairs of texts whose 5-word shingles have a Jaccard similarity of
+    at least `least`. Equal texts are compared once, so copies never multiply candidates: the result has a row per pair of
+    texts' representatives (the smallest id of each text). Texts of fewer than 10 shingles and null texts match nothing.
+
+    Candidates come from a prefix filter: two such sets of shingles must share one of the first n - ceil(least n) + 1 of
+    either in any common order. The order here is rarest first, by counts in CELLS hashed cells (a bounded array for the
+    tasks; collisions only cost speed), so that frequent phrases are no join keys and no pair is missed."""
     def rep(df: DataFrame, name: str) -> DataFrame:
         one = df.filter(F.col(text).isNotNull()).groupBy(F.sha2(text, 256).alias("_t")).agg(F.min(ident).alias(name), F.min(text).alias("_text"))
-        return cut(one.select(name, "_t", sketch_col("_text").alias("sk"), shingles_col("_text").alias("sh")).filter("sk is not null"), "near")
+        return cut(one.select(name, shingles_col("_text").alias("sh")).filter("sh is not null"), "near")
+
+    a = rep(left, "a")
+    b = a.withColumnRenamed("a", "b") if right is left else rep(right, "b")
+    every = a.select(F.explode("sh").alias("k")) if right is left else a.select(F.explode("sh").alias("k")).union(b.select(F.explode("sh").alias("k")))
+    counts = np.zeros(CELLS, np.int64)
+    for r in every.groupBy(F.pmod("k", F.lit(CELLS)).alias("cell")).count().collect():  # at most CELLS rows
+        counts[r.cell] = r["count"]
+    sent = left.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(d: DataFrame, name: str) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                ids, keys, sizes = [], [], []
+                for i, sh in zip(pdf[name], pdf["sh"]):
+                    s = np.asarray(sh, np.int64)
+                    first = s[np.lexsort((s, sent.value[s % CELLS]))][: len(s) - math.ceil(least * len(s) - 1e-9) + 1]
+                    ids.extend([i] * len(first))
+                    keys.extend(first)
+                    sizes.extend([len(s)] * len(first))
+                yield pd.DataFrame({name: pd.Series(ids, dtype=pdf[name].dtype), "k": np.array(keys, np.int64), f"n_{name}": np.array(sizes, np.int32)})
+
+        return d.select(name, "sh").mapInPandas(run, f"{name} {d.schema[name].dataType.simpleString()}, k long, n_{name} int")
 
-    a, b = rep(left, "a"), rep(right, "b").withColumnRenamed("_t", "_u")
-    keys = lambda d, n: d.select(n, F.explode("sk").alias("k"))
-    pairs = keys(a, "a").join(keys(b, "b"), "k").select("a", "b").distinct()
+    fits = (F.col("n_a") >= F.col("n_b") * least) & (F.col("n_b") >= F.col("n_a") * least)
+    pairs = prefixes(a, "a").join(prefixes(b, "b"), "k").filter(fits).select("a", "b").distinct()
     both = pairs.join(a.select("a", F.col("sh").alias("x")), "a").join(b.select("b", F.col("sh").alias("y")), "b")
     same = F.size(F.array_intersect("x", "y"))
     return both.withColumn("similarity", same / (F.size("x") + F.size("y") - same)).filter(F.col("similarity") >= least).select("a", "b", "similarity")
