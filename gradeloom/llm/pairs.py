@@ -123,25 +123,64 @@ _REFUSAL_SIGNS = (
     "ablehnen", "verweigern", "nicht", "gegen meine", "m'abstenir", "préfère", "ne peux", "ne puis", "ne saurais", "ne pourrai", "ne souhaite", "ne veux", "ne suis", "n'ai", "ne pas", "déclin", "m'est", "contraire à", "no puedo", "no podemos", "no voy", "no me ", "no estoy", "rechaz", "negarme", "prefiero", "debo", "tengo que", "obligad", "niego", "contra", "imposible",
     "отказ", "отклон", "воздерж", "не ", "нельзя", "запрещ", "противореч", "против моих", "拒绝", "谢绝", "不", "无法", "没", "违反", "恕",
 )
-#: Words of other content beside a refusal up to which nothing was answered.
+#: Words of other content (ideographs count half) beside a refusal that are too few to be held against the prompt.
 REFUSAL_REST = 14
+#: A refusing sentence with more words than this is weighed clause by clause.
+LONG_SENTENCE = 40
+_CLAUSE = re.compile(r"[,;:，、；：]\s*|\s[-–—]\s|—")
+_BUT = re.compile(r"(?i)\b(?:but|however|aber|jedoch|mais|cependant|pero|но|однако)\b|但是?|不过|然而")
+_LIST_MARK = re.compile(r"(?m)^\s*(?:\d{1,2}[.)]|[-*•+])(?:\s+|$)")
+#: An answer that is marked as one.
+_MARKED = re.compile(r"(?im)\\boxed\b|^\W*(?:(?:final )?answer|result|solution|antwort|ergebnis|lösung|réponse|résultat|respuesta|resultado|ответ|результат|答案|结果)\W{0,3}[:：]\W*\w")
+#: Longer words that questions and refusals share whatever they are about.
+_COMMON = frozenset("about after answer answers asked because before being below briefly could every final first following given instead letter other others option people please question questions reply request respond response should single their there these thing things think those topic under using where which while whole without would write".split())
 
 
-def is_refusal(text: str) -> bool:
-    """Declines in the first person and says little else. Reports of others' refusals or of impossible things don't count."""
+def weight(ws: list[str]) -> float:
+    """Number of words, ideographs counting half."""
+    return sum(0.5 if w >= "一" else 1 for w in ws)
+
+
+def _content(ws: list[str]) -> set[str]:
+    """Words that tell what a text is about; of ideographs, pairs."""
+    return {w for w in ws if len(w) > 4 and w not in _COMMON} | {a + b for a, b in zip(ws, ws[1:]) if a >= "一" and b >= "一"}
+
+
+def _answers(rest: list[str], asked: list[str]) -> bool:
+    """Whether sentences beside a refusal answer the prompt: a marked answer, a number that the prompt hasn't, or, if
+    they are long enough, much of what the prompt is about."""
+    if any(_MARKED.search(s) for s in rest):
+        return True
+    parts = [words(_LIST_MARK.sub("", s)) for s in rest]
+    known = set(asked)
+    if any(w[0].isdigit() and w not in known for ws in parts for w in ws):
+        return True
+    if sum(map(weight, parts)) <= REFUSAL_REST:
+        return False
+    about = _content(asked)
+    shared = about & set().union(*map(_content, parts))
+    return len(shared) >= min(8, max(3, 0.4 * len(about)))
+
+
+def is_refusal(text: str, asked: list[str] | tuple[str, ...] = ()) -> bool:
+    """Declines in the first person and answers nothing beside that, whatever its length; asked: words of the prompt.
+    Reports of others' refusals or of impossible things don't count, nor does what is only quoted."""
     low = text.lower()
-    if len(text) > 1500 or not any(x in low for x in _REFUSAL_SIGNS) or not _REFUSAL.search(text):
+    if not any(x in low for x in _REFUSAL_SIGNS) or not _REFUSAL.search(text):
         return False
-    rest = 0
+    rest = []
     found = False
-    for s in _SENTENCE.split(text):
-        if _REFUSAL.search(s):
-            n = len(words(s))
-            found = found or n <= 40
-            rest += n if n > 40 else 0
+    for s in _SENTENCE.split(own_words(text)):
+        m = _REFUSAL.search(s)
+        if m:
+            found = True
+            if but := _BUT.search(s, m.end()):
+                rest.append(s[but.end() :])
+            elif weight(words(s)) > LONG_SENTENCE:
+                rest += [c for c in _CLAUSE.split(s) if c and not _REFUSAL.search(c)]
         elif not _AFTER.match(s):
-            rest += len(words(s))
-    return found and rest <= REFUSAL_REST
+            rest.append(s)
+    return found and "```" not in text and not _answers(rest, list(asked))
 
 
 def is_copy(text: str, asked: list[str]) -> bool:
@@ -339,7 +378,7 @@ def pair_defects(samples: DataFrame, splits: DataFrame) -> DataFrame:
                     out[i] = "empty"
                 elif a and is_copy(t, of_prompt[hash(a)][1]):
                     out[i] = "copy"
-                elif is_refusal(t):
+                elif is_refusal(t, of_prompt[hash(a)][1]):
                     out[i] = "refusal"
                 else:
                     check.append(i)
