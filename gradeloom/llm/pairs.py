@@ -219,8 +219,28 @@ _ITEM = re.compile(r"\s*[-*•+]\s")
 #: An end that closes a sentence, and a list number that nothing follows.
 _CLOSED_END = re.compile(r"[.!?。！？…][\"'”’»」)*_`]*$")
 _BARE_NUMBER = re.compile(r"\n\s*\d{1,2}[.)]$")
-#: A closing line that holds nothing but an answer: a number, a label, a name or two.
-_ANSWER_LINE = re.compile(r"(?s)^.*[.!?。！？:：]\s*\n+\W{0,3}(?:-?\d+(?:[.,/]\d+)?|[^\W\d_]\w*)(?: \w+)?\W{0,3}$")
+#: A last line of one or two words, no list item, after a line that closes with a stop or colon. Ideographs aren't words here.
+_LAST_LINE = re.compile(r"(?s)^.*[.!?。！？:：][\"'”’»」)*_`]*\s*\n+(?!\s*(?:[-*•+]|\d{1,2}[.)])\s)[^\w\n]{0,3}((?:-?\d+(?:[.,/]\d+)?|[^\W\d_一-鿿][^\W_一-鿿]*)(?: [^\W_一-鿿]+)?)[^\w\n]{0,3}$")
+_NUMBER = re.compile(r"-?\d+(?:[.,/]\d+)?(?: [^\W\d_]{4,})?")
+#: Answers of one word.
+_VERDICTS = frozenset("yes no true false none ja nein wahr falsch oui non vrai faux sí no verdadero falso да нет верно неверно".split())
+#: A prompt that wants one word, letter, name or number for an answer, or a short one.
+_BRIEF = re.compile(r"(?i)\b(?:one|single|a) (?:word|letter|name|number)\b|\bthe (?:letter|name|word|label)\b.{0,40}\bonly\b|\bas briefly\b|\bein(?:em|en)? (?:einzigen? )?(?:wort|buchstaben?|zahl)\b|\bun seul mot\b|\bune seule lettre\b|\b(?:una sola|una) (?:palabra|letra)\b|\bодн(?:им|ой|о|у) (?:словом|слово|буквой|букву)\b|一个(?:词|字母|数字)")
+
+
+def answer_line(body: str, known: set[str], asked: str = "") -> bool:
+    """The last line holds nothing but an answer: a number, a letter, a verdict, a name (capital words that are not known
+    in lower case), or the one word that the prompt wants."""
+    m = _LAST_LINE.match(body)
+    if not m:
+        return False
+    line = m.group(1)
+    ws = line.split(" ")
+    if _NUMBER.fullmatch(line) or len(ws) == 1 and (len(line) == 1 and line.isupper() or line.lower() in _VERDICTS):
+        return True
+    if all(w[0].isupper() and w.lower() not in known for w in ws):
+        return True
+    return len(ws) == 1 and line not in known and bool(_BRIEF.search(asked))
 
 
 class Endings:
@@ -295,13 +315,13 @@ def left_open(text: str) -> bool:
     return quoted or bool(stack)
 
 
-def is_truncated(text: str, endings: Endings) -> bool:
+def is_truncated(text: str, endings: Endings, asked: str = "") -> bool:
     body = text.rstrip()
     if left_open(body):
         return True
     if _BARE_NUMBER.search(body[-12:]):
         return True
-    if _CLOSED_END.search(body[-12:]) or len(_SHAPES.findall(body)) < 4 or _ANSWER_LINE.match(body):
+    if _CLOSED_END.search(body[-12:]) or len(_SHAPES.findall(body)) < 4 or answer_line(body, endings.known, asked):
         return False
     return endings.odd_word(body) or endings.likelihood(body) < END_LIKELIHOOD
 
@@ -396,7 +416,7 @@ def pair_defects(samples: DataFrame, splits: DataFrame) -> DataFrame:
                         if s[best] - rest > LOG_ODDS and sure > LOG_ODDS:
                             out[i] = "wrong_language"
                             continue
-                if is_truncated(texts[i], ends):
+                if is_truncated(texts[i], ends, asked[i]):
                     out[i] = "truncated"
             found = part[["id", "sample", "turn"]].assign(defect=out)
             return found[found["defect"].notna()]

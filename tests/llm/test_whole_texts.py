@@ -15,3 +15,12 @@ DOSE = words("What dose of ibuprofen should a small child receive after an opera
 ])
 def test_refusals_are_told_by_what_they_answer(text, want):
     assert P.is_refusal(text, DOSE) is want
+
+
+@pytest.mark.parametrize("text,asked,want", [
+    ("Heat the pan. This is the first step.\nNext we", "", True), ("Here are the steps:\n- Take the", "", True), ("这是第一步的说明。\n因此我们需要先计算每个", "", True), ("I added both of them.\n42", "", False), ("I looked it up in the list.\nHesethmer", "", False), ("Both of them hold.\nYes", "", False),
+    ("Both of them were read.\ngranite", "Reply with a single word.", False),
+])
+def test_only_answers_stand_alone_on_a_last_line(text, asked, want):
+    ends = P.Endings(["We take the next pan and heat it, so that we can go on.", "因此我们需要先计算每个数，然后再把它们加起来，最后再看一看每个结果是不是对的。"] * 50)
+    assert P.is_truncated(text, ends, asked) is want
