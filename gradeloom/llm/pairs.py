@@ -16,8 +16,12 @@ from pyspark.sql import functions as F
 from gradeloom.functions.labels import language_code
 from gradeloom.llm.words import words
 
-#: Bound of the labelled prompts per language that the language model is fitted on, and of the responses for the endings.
-LANGUAGE_ROWS, ENDING_ROWS = 1_500, 20_000
+#: Bound of the labelled prompts per language that the language model is fitted on.
+LANGUAGE_ROWS = 1_500
+#: Responses that hold a word for it to be known, and responses per one more; responses per end that is told apart.
+COMMON, PER_COMMON, PER_END = 5, 200_000, 500_000
+#: Different words or ends that a task counts before it hands them on.
+HELD = 500_000
 #: Character n-grams are counted in so many hashed cells; their longest n.
 CELLS, LONGEST = 1 << 16, 3
 #: Letters that a response needs to be held against a language, and the log-odds per text that decide.
@@ -27,7 +31,7 @@ END_LIKELIHOOD = 0.02
 
 
 class Languages:
-    """Naive Bayes over hashed character n-grams (n = 1 and LONGEST) of lower-case text, digits and signs left out."""
+    """Naive Bayes over hashed character n-grams (n = 1 to LONGEST) of lower-case text, digits and signs left out."""
 
     def __init__(self, labelled: list[tuple[str, str]]):
         self.names = sorted({lang for lang, _ in labelled})
@@ -50,14 +54,12 @@ class Languages:
         grams, where = [], []
         h = np.zeros(len(c), np.int64)
         ok = c > 0
-        for n in range(1, LONGEST + 1):  # pairs add little to what single letters and threes tell, and are left out
+        for n in range(1, LONGEST + 1):
             m = len(c) - n + 1
             if m <= 0:
                 break
             h = h[:m] * 1_000_003 + c[n - 1 :]
             ok = ok[:m] & (c[n - 1 :] > 0)
-            if n == 2:
-                continue
             at = np.flatnonzero(ok & ((n == 1) & (c[:m] != 32) | (n > 1)))
             grams.append(((h[at] * 0x9E3779B97F4A7C1 >> 20) + n * 7919) % CELLS)
             where.append(at)
@@ -215,6 +217,21 @@ def own_words(text: str) -> str:
 _SHAPES = re.compile(r"\n|```|\d+(?:[.,]\d+)*|[一-鿿]|[^\W\d_一-鿿]+|[^\w\s]|_")
 
 
+_ASCII_SHAPES = re.compile(r"\n|```|\d+(?:[.,]\d+)*|[A-Za-z]+|[^\w\s]|_")
+#: Signs of which one closes a sentence; their ends are never asked for.
+_CLOSERS = frozenset(".!?。！？…")
+
+
+def shapes(text: str) -> list[str]:
+    return (_ASCII_SHAPES if text.isascii() else _SHAPES).findall(text)
+
+
+def last_shapes(body: str) -> list[str]:
+    """At least the last four shapes of a text, or all."""
+    got = shapes(body[-240:])
+    return got[1:] if len(got) > 4 else got if len(body) <= 240 else shapes(body)
+
+
 _ITEM = re.compile(r"\s*[-*•+]\s")
 #: An end that closes a sentence, and a list number that nothing follows.
 _CLOSED_END = re.compile(r"[.!?。！？…][\"'”’»」)*_`]*$")
@@ -245,48 +262,118 @@ def answer_line(body: str, known: set[str], asked: str = "") -> bool:
 
 class Endings:
     """Likelihood that a text ends after its last tokens: counts of token n-grams (n = 1..3) that were ends against all
-    of their places, with back-off. Tokens are words, signs, line breaks; names and numbers count by shape."""
+    of their places, with back-off. Tokens are words, signs, line breaks; names and numbers count by shape. The counts
+    come in three steps, each over batches of texts: words, ends that close no sentence, and the places of these ends."""
 
-    def __init__(self, texts: list[str], weight: float = 4.0, common: int = 5):
+    def __init__(self, texts: list[str] = (), weight: float = 4.0):
         self.weight = weight
-        # the last token does not count: a text that is broken off may end in a part of a word
-        seen = Counter(t for x in texts for t in set(_SHAPES.findall(x)[:-1]))
-        self.known = {t for t, n in seen.items() if n >= common and t == t.lower()}
-        self.all: Counter = Counter()
-        self.end: Counter = Counter()
+        self.known: frozenset[str] = frozenset()
+        self.end: dict[tuple[str, ...], int] = {}
+        self.all: dict[tuple[str, ...], int] = {}
+        self.base = 1.0
+        self.learn(self.words_of(texts), COMMON)
+        self.ask(self.ends_of(texts), 1)
+        self.place(self.places_of(texts), len([x for x in texts if x]))
+
+    @staticmethod
+    def words_of(texts: list[str]) -> Counter:
+        """Numbers of texts per word."""
+        seen: Counter = Counter()
         for x in texts:
-            t = self.tokens(x)
-            if len(t) < 3:
+            # the last token does not count: a text that is broken off may end in a part of a word
+            seen.update(set(shapes(x)[:-1]))
+        return Counter({t: n for t, n in seen.items() if t[0].isalpha() and t == t.lower()})
+
+    def learn(self, seen: dict[str, int], least: int) -> None:
+        self.known = frozenset(t for t, n in seen.items() if n >= least)
+
+    def ends_of(self, texts: list[str]) -> Counter:
+        found: Counter = Counter()
+        for x in texts:
+            body = x.rstrip()
+            if body and body[-1] not in _CLOSERS:
+                t = self.tokens(body)
+                if len(t) > 2:
+                    found.update(tuple(t[-n:]) for n in (1, 2, 3))
+        return found
+
+    def ask(self, ends: dict[tuple[str, ...], int], least: int) -> None:
+        self.end = {k: n for k, n in ends.items() if n >= least}
+        self.ids = {t: i for i, t in enumerate(sorted({t for k in self.end for t in k}), 1)}
+        self.keys, self.codes = {}, {}
+        for n in (1, 2, 3):
+            coded = sorted((self._code(k), k) for k in self.end if len(k) == n)
+            self.codes[n], self.keys[n] = np.array([c for c, _ in coded], np.int64), [k for _, k in coded]
+
+    def _code(self, key: tuple[str, ...]) -> int:
+        c = 0
+        for t in key:
+            c = c * (len(self.ids) + 1) + self.ids[t]
+        return c
+
+    def places_of(self, texts: list[str]) -> Counter:
+        """Numbers of places per (n, number of the end), and of all tokens at (0, 0)."""
+        start, ids, size = self.ids.get("^", 0), self.ids, len(self.ids) + 1
+        row: list[int] = []
+        total = 0
+        memo: dict[str, int] = {}
+        for x in texts:
+            body = shapes(x.rstrip())
+            if not body:
                 continue
-            for n in (1, 2, 3):
-                self.all.update(tuple(t[i - n : i]) for i in range(n, len(t) + 1))
-                self.end[tuple(t[-n:])] += 1
-        self.base = max(1, sum(1 for x in texts if x)) / max(1, sum(n for k, n in self.all.items() if len(k) == 1))
-
-    def tokens(self, text: str) -> list[str]:
-        out = ["^", "^"]
-        for t in _SHAPES.findall(text.rstrip()):
-            if t[0].isdigit():
-                out.append("9")
-            elif t[0].isalpha() and t not in self.known:
-                out.append("A" if t[0].isupper() else "?" if t < "一" else "字")
-            else:
-                out.append(t)
-        return out
+            total += len(body) + 2
+            row += (0, 0, start, start)  # no n-gram reaches over the zeros
+            for t in body:
+                i = memo.get(t)
+                if i is None:
+                    i = memo[t] = ids.get(self._shape(t), 0)
+                row.append(i)
+        at = np.array(row, np.int64)
+        found = Counter({(0, 0): total})
+        code, ok = at, at > 0
+        for n in (1, 2, 3):
+            if n > 1:
+                ok = ok[: len(at) - n + 1] & (at[n - 1 :] > 0)
+                code = code[: len(at) - n + 1] * size + at[n - 1 :]
+            asked = self.codes[n]
+            if not len(asked) or not len(code):
+                continue
+            c = code[ok]
+            i = np.minimum(np.searchsorted(asked, c), len(asked) - 1)
+            sums = np.bincount(i[asked[i] == c], minlength=len(asked))
+            for k in np.flatnonzero(sums):
+                found[n, int(k)] = int(sums[k])
+        return found
+
+    def place(self, places: dict[tuple[int, int], int], texts: int) -> None:
+        self.all = {self.keys[n][k]: m for (n, k), m in places.items() if n}
+        self.base = max(1, texts) / max(1, places.get((0, 0), 0))
+        self.keys, self.codes, self.ids = {}, {}, {}
+
+    def _shape(self, t: str) -> str:
+        if t[0].isdigit():
+            return "9"
+        if t[0].isalpha() and t not in self.known:
+            return "A" if t[0].isupper() else "?" if t < "一" else "字"
+        return t
+
+    def tokens(self, body: str) -> list[str]:
+        """The last tokens of a text without blanks at its end."""
+        return ["^", "^", *map(self._shape, last_shapes(body))]
 
     def likelihood(self, text: str) -> float:
-        t = self.tokens(text)
+        t = self.tokens(text.rstrip())
         p = self.base
         for n in (1, 2, 3):
             k = tuple(t[-n:])
-            # one end less: the text itself may be among those counted
-            p = (max(0, self.end[k] - 1) + self.weight * p) / (self.all[k] + self.weight)
+            # one end less: the text itself is among those counted
+            p = (max(0, self.end.get(k, 0) - 1) + self.weight * p) / (self.all.get(k, 0) + self.weight)
         return p
 
     def odd_word(self, text: str) -> bool:
         """The text, no list item, stops in a lower-case word that hardly occurs elsewhere: most likely a part of one."""
-        t = self.tokens(text)
-        return t[-1] == "?" and not _ITEM.match(text.rstrip().rsplit("\n", 1)[-1])
+        body = text.rstrip()
+        return self.tokens(body)[-1] == "?" and not _ITEM.match(body.rsplit("\n", 1)[-1])
 
 
 _OPENERS = {"(": ")", "[": "]", "{": "}"}
@@ -321,7 +408,7 @@ def is_truncated(text: str, endings: Endings, asked: str = "") -> bool:
         return True
     if _BARE_NUMBER.search(body[-12:]):
         return True
-    if _CLOSED_END.search(body[-12:]) or len(_SHAPES.findall(body)) < 4 or answer_line(body, endings.known, asked):
+    if _CLOSED_END.search(body[-12:]) or len(last_shapes(body)) < 4 or answer_line(body, endings.known, asked):
         return False
     return endings.odd_word(body) or endings.likelihood(body) < END_LIKELIHOOD
 
@@ -345,11 +432,37 @@ def fit_languages(splits: DataFrame) -> Languages:
 
 
 def fit_endings(samples: DataFrame) -> Endings:
-    """The model of ends, from the responses of about ENDING_ROWS records, drawn by hash of the key."""
-    n = samples.count()
-    rows = samples.filter(_share(F.xxhash64("id", "sample"), ENDING_ROWS / max(1, n))).select(F.explode("turns").alias("t")).select(F.col("t.response.text").alias("text"))
-    found = rows.filter("length(text) between 1 and 20000").limit(4 * ENDING_ROWS).collect()
-    return Endings(sorted(r.text for r in found))
+    """The model of ends, counted over all responses: three passes that send counts only. What is held grows slower than
+    the data, as words and ends have to be met more often where there are more responses (PER_COMMON, PER_END)."""
+    texts = samples.select(F.explode("turns").alias("t")).select(F.col("t.response.text").alias("text")).filter("length(text) > 0")
+    n = texts.count()
+    model = Endings()
+
+    def counted(count, schema: str):
+        """Sums over all texts of what count(texts) gives, added up within each task first."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            sums: Counter = Counter()
+            frame = lambda: pd.DataFrame([(*k, m) if isinstance(k, tuple) else (k, m) for k, m in sums.items()], columns=names)
+            for pdf in batches:
+                sums.update(count(pdf["text"].tolist()))
+                if len(sums) > HELD:
+                    yield frame()
+                    sums.clear()
+            yield frame()
+
+        names = [x.split(" ")[0] for x in schema.split(", ")]
+        return texts.mapInPandas(run, schema).groupBy(*names[:-1]).agg(F.sum("m").alias("m"))
+
+    least = max(COMMON, n // PER_COMMON)
+    model.learn({r.w: r.m for r in counted(model.words_of, "w string, m long").filter(F.col("m") >= least).collect()}, least)
+    sent = samples.sparkSession.sparkContext.broadcast(model)
+    least = max(1, n // PER_END)
+    ends = counted(lambda x: Counter({"\x1f".join(k): m for k, m in sent.value.ends_of(x).items()}), "k string, m long")
+    model.ask({tuple(r.k.split("\x1f")): r.m for r in ends.filter(F.col("m") >= least).collect()}, least)
+    asked = samples.sparkSession.sparkContext.broadcast(model)
+    model.place({(r.n, r.k): r.m for r in counted(lambda x: asked.value.places_of(x), "n int, k int, m long").collect()}, n)
+    return model
 
 
 def pair_defects(samples: DataFrame, splits: DataFrame) -> DataFrame:
@@ -357,7 +470,8 @@ def pair_defects(samples: DataFrame, splits: DataFrame) -> DataFrame:
     a refusal, in the wrong language, or truncated (checked in this order; a turn has one defect).
 
     Method: language posteriors of the prompt and the response from character n-gram naive Bayes; an end-of-text n-gram
-    likelihood for truncation; both are fitted on bounded samples (LANGUAGE_ROWS, ENDING_ROWS). A response may be in the
+    likelihood for truncation; the first is fitted on a bounded sample of labelled prompts (LANGUAGE_ROWS), the second on
+    all responses. A response may be in the
     language of the prompt or in one that the prompt asks for; quotations and code are left out, and short answers are
     not judged. Where a turn has no prompt, the messages of the splits row and the user's turns so far stand in.
 

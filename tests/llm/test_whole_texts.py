@@ -22,5 +22,19 @@ def test_refusals_are_told_by_what_they_answer(text, want):
     ("Both of them were read.\ngranite", "Reply with a single word.", False),
 ])
 def test_only_answers_stand_alone_on_a_last_line(text, asked, want):
-    ends = P.Endings(["We take the next pan and heat it, so that we can go on.", "因此我们需要先计算每个数，然后再把它们加起来，最后再看一看每个结果是不是对的。"] * 50)
+    ends = P.Endings(["We take the next pan and heat it, so that we can go on.", "因此我们需要先计算每个数，然后再把它们加起来，最后再看一看每个结果是不是对的。"] * 50 + [text])
     assert P.is_truncated(text, ends, asked) is want
+
+
+def test_endings_count_every_response(spark):
+    turn = lambda t: (None, (t, "stop"))
+    rows = [(f"p{i}", 0, [turn("one two " * 3_000 + "whole day, and no more"), *[turn(f"the {w} day, and no more") for w in ("red", "old", "dry", "low", "far", "wet")], turn(None), None], 1) for i in range(6)]
+    df = spark.createDataFrame(rows, "id string, sample int, turns array<struct<prompt string, response struct<text string, finish_reason string>>>, turn int")
+    got, want = P.fit_endings(df), P.Endings([t[1][0] for r in rows for t in r[2] if t and t[1][0]])
+    assert {"one", "two", "whole", "wet"} <= got.known and got.known == want.known
+    assert got.end == want.end and got.all == want.all and got.base == want.base and got.end["?",] == 42 == got.all["?",]
+    assert P.fit_endings(df.limit(0)).likelihood("a b") == 1
+
+
+def test_language_model_counts_pairs():
+    assert len(P.Languages._codes(["abc"])[0]) == 3 + 2 + 1
