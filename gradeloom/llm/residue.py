@@ -15,7 +15,17 @@ _FENCE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)", re.S)
 _SPAN = re.compile(r"`[^`\n]{1,200}`")
 _MATH = re.compile(r"\\\(.*?\\\)|\\\[.*?\\\]|\$\$.*?\$\$|\\[a-zA-Z]+(?:\{[^{}]*\})+|\\[{}]|\{\s*[\d\w]+(?:\s*,\s*[\d\w.…]+)+\s*\}", re.S)
 _JSON = re.compile(r'^\s*(?:\{\s*"[^"\n]*"\s*:|\[\s*(?:\{\s*"|"|-?\d|\[\s*["\d-])).*$', re.M)
-_CODE = re.compile(r"^(?:\s{4,}\S.*|\s*(?:def |class |import |from \w+ import|for .* in .*:|if .*:|return\b|[A-Za-z_]\w*\s*\(.*\)\s*;?|[a-z_]\w*(?:\[[^\]]*\])?\s*[-+*/]?=\s).*)$", re.M)
+_INDENT = re.compile(r"(?: {4}|\t)[ \t]*\S")
+#: Signs of code that a line shows; each counts once.
+_CODE_SIGNS = [
+    re.compile(r"\s*[A-Za-z_][\w.]*\([^()]*(?:\([^()]*\)[^()]*)*\)\s*[;:{]?\s*$"),
+    re.compile(r"\s*(?:(?:async )?def \w+\s*\(.*|class \w+\s*(?:\([^()]*\))?:|import [\w.]+(?: as \w+)?(?:, ?[\w.]+)*;?|from [\w.]+ import .+|(?:for .+ in .+|(?:el)?if .+|else|while .+|try|with .+|except\b.*):|return(?: \S+(?: [-+*/%=<>&|]+ \S+)*)?;?|(?:public|private|static|void|int|const|let|var|function) .*[;{(])\s*$"),
+    re.compile(r"\s*[a-z_][\w.]*(?:\[[^\]]*\])?\s*[-+*/]?=(?!=)\s*\S"),
+    re.compile(r"(?:[(=,\[]|\breturn)\s*[frb]?[\"']"),
+    re.compile(r"(?:(?<!\})\}?;|(?<!\{)\{|\):)\s*$|^\s*[}\])]+[;,]?\s*$"),
+]
+_CODE_START = re.compile(r"(?m)^(?: {4}|\t)|[=();{]|^\s*(?:import|from|return|class|else|try)\b")
+_PROSE = re.compile(r"[^\W\d_]{2,}[ ,]+[^\W\d_]{2,}|[一-鿿]{2}")
 #: Elements of HTML; a name in angle brackets that is none of them is a field.
 _HTML = frozenset("a abbr article aside audio b body br button canvas center cite code col div dl dt dd em footer form font h1 h2 h3 h4 h5 h6 head header hr html i iframe img input kbd label li link main mark meta nav noscript ol option p pre q s samp script section select small span strong style sub sup svg table tbody td textarea tfoot th thead tr tt u ul var video blockquote think tool".split())
 
@@ -128,8 +138,48 @@ _WORD = re.compile(r"[一-鿿]|[^\W_一-鿿]+")
 
 def _masked(text: str) -> str:
     """Text without code, notation and data, which use the same signs."""
+    text = text.replace("\r\n", "\n").replace("\r", "\n")
     text = _SPAN.sub(" ", _FENCE.sub("\n", text))
-    return _CODE.sub("", _JSON.sub("", _MATH.sub(" ", text)))
+    return _without_code(_JSON.sub("", _MATH.sub(" ", text)))
+
+
+def _without_code(text: str) -> str:
+    """Text without runs of lines that look like code by two signs or more: an indent counts one, so does a line before
+    that ends in a colon, and a line with another sign in which no two words follow each other. Indents alone are none."""
+    if not _CODE_START.search(text):
+        return text
+    lines = text.split("\n")
+    out: list[str] = []
+    run: list[str] = []
+    score = other = 0
+    before = ""
+
+    def close() -> None:
+        nonlocal run, score, other, before
+        if run:
+            led = before.endswith((":", "："))
+            if not (other or led) or score + led < 2:
+                out.extend(run)
+            run, score, other = [], 0, 0
+            before = ""
+
+    for line in lines:
+        if not line.strip():
+            (run if run else out).append(line)
+            continue
+        indent = bool(_INDENT.match(line))
+        signs = sum(bool(p.search(line) if k > 2 else p.match(line)) for k, p in enumerate(_CODE_SIGNS))
+        pure = not _PROSE.search(line)
+        if signs and (pure or signs > 1 or indent) or indent and pure or signs and run:
+            run.append(line)
+            score += indent + signs + (pure and signs > 0)
+            other += signs
+        else:
+            close()
+            out.append(line)
+            before = line.rstrip()
+    close()
+    return "\n".join(out)
 
 
 def placeholder_weight(text: str) -> int:
