@@ -30,7 +30,8 @@ _PROSE = re.compile(r"[^\W\d_]{2,}[ ,]+[^\W\d_]{2,}|[一-鿿]{2}")
 _HTML = frozenset("a abbr article aside audio b body br button canvas center cite code col div dl dt dd em footer form font h1 h2 h3 h4 h5 h6 head header hr html i iframe img input kbd label li link main mark meta nav noscript ol option p pre q s samp script section select small span strong style sub sup svg table tbody td textarea tfoot th thead tr tt u ul var video blockquote think tool".split())
 
 _NAME = r"[^\W\d]\w{0,30}(?:[. _-]\w{1,30}){0,3}"
-#: One grammar per delimiter: (pattern, weight). A text with a total weight of 2 or more has residue.
+#: One grammar per delimiter: (pattern, weight). A text with a total weight of 2 or more has residue. A field of weight 1
+#: weighs 2 where a value should stand.
 _FIELDS = [
     (re.compile(r"\{\{[{#/^&>!]?\s*" + _NAME + r"[^{}\n]{0,40}\}\}"), 2),
     (re.compile(r"[$#%]\{\s*" + _NAME + r"\s*\}"), 2),
@@ -57,6 +58,13 @@ _FIELDS = [
     (re.compile(r"(?<![\w\]])\[[A-ZА-ЯЁ][A-ZА-ЯЁ _-]{2,40}\](?![(\[:])"), 1),
     (re.compile(r"[【\[][一-鿿]{1,8}[】\]]"), 1),
 ]
+#: What a field holds, by language.
+_VALUE = re.compile(r"(?i)(?:\b|_)(?:(?:first|last|sur|user|company|full)?[ _-]?name|date|day|month|year|time|company|organi[sz]ation|address|city|country|street|phone|e-?mail|title|topic|product|amount|price|number|customer|client|recipient|sender|author|position|department|link|url|location|school|university|venue|event|subject|signature|(?:vor|nach)name|datum|firma|unternehmen|anschrift|adresse|ort|stadt|betrag|thema|titel|kunde|empfänger|nom|prénom|entreprise|société|ville|montant|sujet|titre|nombre|apellidos?|fecha|empresa|dirección|ciudad|importe|tema|título|cliente|имя|фамилия|отчество|дата|компания|организация|адрес|город|сумма|тема|название|клиент)(?:\b|_)|姓名|名字|名称|日期|公司|单位|地址|城市|金额|电话|主题|标题|客户|时间|年份")
+#: What stands right before a value, whatever it is called.
+_GREETING = re.compile(r"(?i)(?:\b(?:dear|hello|hi|hallo|sehr geehrte[rs]?(?: (?:herr|frau))?|liebe[rs]?|bonjour|cher|chère|estimad[oa]|hola|уважаем(?:ый|ая|ые)|здравствуйте|привет),?\s|尊敬的|亲爱的|你好，?)\s*$")
+_COLON = re.compile(r"\w[*_ ]{0,3}[:：][*_ ]{0,3}$")
+_IN_SENTENCE = re.compile(r"[\w,;)\]，][ ]?$")
+_SET = re.compile(r"(?i)[=∈∉⊂⊆∪∩∅\\^]|\b(?:sub)?sets?\b|\bspace\b|\bkernel\b|\bvector|\bmenge|\bensemble\b|\bconjunto\b|множеств|集合")
 _ANGLE = re.compile(r"<([^\W\d][\w -]{1,30})>")
 _MARKS = [
     re.compile(r"(?m)^\W{0,4}(?:TODO|FIXME|TBD|TBA)\s*[:：-]"),
@@ -193,7 +201,7 @@ def placeholder_weight(text: str) -> int:
             if m.span() in seen or _discussed(body, m):
                 continue
             seen.add(m.span())
-            got += weight
+            got += 2 if weight == 1 and _awaits_value(body, m) else weight
             if got >= 2:
                 return got
     low = body.lower()
@@ -216,6 +224,32 @@ def _discussed(body: str, m: re.Match) -> bool:
     return bool(_ABOUT.search(body[start + 1 : end]))
 
 
+def _sentence(body: str, m: re.Match) -> tuple[int, int]:
+    """Where the line or sentence around a sign starts and ends."""
+    start = max(body.rfind(x, 0, m.start()) for x in (". ", "\n", "。"))
+    return start + 1, min(x for x in (*(body.find(x, m.end()) for x in (". ", "\n", "。")), len(body)) if x >= 0)
+
+
+def _awaits_value(body: str, m: re.Match) -> bool:
+    """Whether a single field stands where a value should: after a greeting, alone after a colon, or, if it is named after
+    a value or numbered, inside a sentence. Sentences about such signs, and about sets, hold none."""
+    start, end = _sentence(body, m)
+    before, after = body[start : m.start()], body[m.end() : end]
+    if _ABOUT.search(before + after):
+        return False
+    if _GREETING.search(before):
+        return True
+    numbered = m.group()[1].isdigit()
+    named = bool(_VALUE.search(m.group()))
+    if numbered and _SET.search(before + after):
+        return False
+    if _COLON.search(before):
+        return named or numbered or m.group()[0] == "[" and not after.strip(" .,;*_")
+    if not named and not numbered:
+        return False
+    return bool(_IN_SENTENCE.search(before)) or not before.strip() and m.group()[0] != "【" and bool(re.match(r" [^\W\d_A-ZÀ-ÞА-ЯЁ]", after))
+
+
 def is_filler(text: str) -> bool:
     """A run of filler words, keyboard noise, one word or phrase again and again, or a sentence that says it is filler."""
     body = _FENCE.sub("\n", text)
@@ -236,6 +270,8 @@ def is_filler(text: str) -> bool:
         same = same + 1 if i and (w == ws[i - 1] or i > 1 and w == ws[i - 2] and ws[i - 1] == ws[max(0, i - 3)]) else 0
         if same >= 7 and not w.isdigit():
             return True
+    if latin_share(body, len(ws)):
+        return True
     if len(_SKELETON.findall(body)) >= 4:
         return True
     low = body.lower()
@@ -246,6 +282,14 @@ def is_filler(text: str) -> bool:
     return len(_FILLER.findall(body)) > 1 or not _TEACH.search(part) and (len(_WORD.findall(part)) <= 30)
 
 
+def latin_share(body: str, n: int) -> bool:
+    """Whether sentences of nothing but usual filler words make up half of a text of n words, be it ever so short."""
+    if "lorem" not in (low := body.lower()) and "ipsum" not in low:
+        return False
+    own = [ws for s in _SENT.split(low) if len(ws := _WORD.findall(s)) > 1 and all(w in _LATIN for w in ws)]
+    return 2 * sum(map(len, own)) >= n > 0
+
+
 def notice_kind(text: str) -> str | None:
     """'error' or 'scripts' if such a notice stands in place of the content: alone, under a title or menu, or after a
     short opening (at most OPENING words of other content, ideographs counting half)."""
@@ -258,7 +302,7 @@ def notice_kind(text: str) -> str | None:
             continue
         ws = _WORD.findall(s)
         low = s.lower()
-        if len(ws) <= 40 and (len(ws) <= NOTICE_WORDS or any(x in low for x in _STEMS)) and not _TEACH.search(s):
+        if sum(0.5 if w >= "一" else 1 for w in ws) <= 40 and (len(ws) <= NOTICE_WORDS or any(x in low for x in _STEMS)) and not _TEACH.search(s):
             if _SCRIPTS.search(s):
                 scripts += 1
                 continue

@@ -10,3 +10,13 @@ from gradeloom.llm.residue import defect
 ])
 def test_only_lines_of_code_are_masked(text, want):
     assert defect(text) == want
+
+
+@pytest.mark.parametrize("text,want", [
+    ("We met with [Company Name] last week to talk.", "placeholder"), ("The party is on [DATE] at noon.", "placeholder"), ("Name: [Visitor]", "placeholder"), ("客户是【姓名】，请注意。", "placeholder"), ("Bonjour «firstname», bienvenue.", "placeholder"), ("You owe us {0} for the last month.", "placeholder"),
+    ("Il a dit «oui» et il est parti.", None), ("The set {0} is closed.", None), ("As shown by [Smith] the bound holds.", None), ("【标题】这是一个标题", None), ("The field [DATE] stands for a token.", None),
+    ("My page\n\nLorem ipsum dolor sit amet.", "filler"), ('He wrote "lorem ipsum dolor sit amet" there on the wall.', None),
+    ("您访问的页面不存在，可能已经被移动或者删除，也可能是您输入的地址有误，请您检查地址之后再试一次，或者返回首页继续浏览", "error"),
+])
+def test_single_fields_short_filler_and_long_notices(text, want):
+    assert defect(text) == want
