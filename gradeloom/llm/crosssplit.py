@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache, reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -15,13 +17,15 @@ from pyspark.sql import functions as F
 from gradeloom.llm.words import fold, words
 from gradeloom.session import cut, small
 
-#: Words per allowed edit, and words of a segment.
+#: Words per allowed edit, and most words of a segment.
 PER_EDIT, SEGMENT = 10, 5
 #: A closing line is a standing instruction when it ends at least so many different texts.
 STANDING = 12
 #: Standing instructions are a fixed list in practice; more are refused, as they are sent to all tasks.
 MAX_STANDING = 20_000
 _STOP = re.compile(r"(?<=[.?!。？！])\s+|(?<=[。？！])|\n+")
+#: Digits in groups of three; a single point may be a decimal sign.
+_GROUPED = re.compile(r"(?<![\d.,])\d{1,3}(?:(?:[,，'’\u00a0\u2009\u202f]\d{3})+|(?:\.\d{3}){2,})(?!\d|[.,]\d{3}(?!\d))")
 _LIST = re.compile(r"(?m)^\s*\d{1,3}\s*[.):]\s+")
 
 
@@ -31,7 +35,7 @@ def h64(text: str) -> int:
 
 def canonical(text: str, endings: dict[int, list[tuple[str, ...]]]) -> tuple[list[str], list[int]]:
     """Words of a question without list numbers and closing instruction, and where its sentences start."""
-    lines = _LIST.sub("", text)
+    lines = _GROUPED.sub(lambda m: "".join(filter(str.isdigit, m.group())), _LIST.sub("", text))
     ws, starts = [], []
     for part in _STOP.split(lines):
         w = words(part)
@@ -140,18 +144,36 @@ def same_question(a: list[str], a_starts: list[int], b: list[str], b_starts: lis
     return edits + len(rest) <= k
 
 
+def piece_length(n: int, starts: list[int]) -> int:
+    """Words of a segment of an evaluation text: the most, up to SEGMENT, that give one segment more than there may be
+    edits, when no segment crosses a sentence. The longest text that it can pair with has n/0.9 words, so n//9 edits."""
+    spans = [e - s for s, e in zip(starts, [*starts[1:], n])]
+    return next(x for x in range(SEGMENT, 0, -1) if x == 1 or sum(s // x for s in spans) > n // (PER_EDIT - 1))
+
+
 def pieces(ws: list[str], starts: list[int]) -> list[str]:
-    """Segments of an evaluation text: runs of SEGMENT words that cross no sentence. A text of n words has about n/5 or
-    more of them and at most n/10 edits, each of which spoils one, so one stays intact; a very short text is one segment."""
-    if len(ws) < SEGMENT * 2:
-        return [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else [" ".join(ws[:SEGMENT]), " ".join(ws[SEGMENT : SEGMENT * 2])]
-    out = [" ".join(ws[i : i + SEGMENT]) for s, e in zip(starts, [*starts[1:], len(ws)]) for i in range(s, e - SEGMENT + 1, SEGMENT)]
+    """Segments of an evaluation text. Each edit spoils one at most, so one stays intact. Texts of less than PER_EDIT words
+    allow no edit among themselves and are one key; one of PER_EDIT - 1 may also pair with a longer one."""
+    out = [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else []
+    if len(ws) >= PER_EDIT - 1:
+        x = piece_length(len(ws), starts)
+        out += [" ".join(ws[i : i + x]) for s, e in zip(starts, [*starts[1:], len(ws)]) for i in range(s, e - x + 1, x)]
     return out
 
 
-def substrings(ws: list[str]) -> list[str]:
-    """Where a segment may stand in a training text: sentences may come in any order, so every position is allowed."""
-    return [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else [" ".join(ws[i : i + SEGMENT]) for i in range(len(ws) - SEGMENT + 1)]
+def substrings(ws: list[str], lengths: set[int]) -> list[str]:
+    """Where a segment of one of the lengths may stand in a training text: sentences may come in any order, so every
+    position is allowed."""
+    out = [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else []
+    return out + [" ".join(ws[i : i + x]) for x in lengths if len(ws) >= PER_EDIT - 1 for i in range(len(ws) - x + 1)]
+
+
+def partner_lengths(used: dict[int, int], m: int) -> set[int]:
+    """Segment lengths of the evaluation texts that a training text of m words may pair with; used: per number of words,
+    the lengths as bits."""
+    k = m // (PER_EDIT - 1)
+    bits = reduce(or_, (used.get(n, 0) for n in range(m - k, m + k + 1) if abs(n - m) <= max(n, m) // PER_EDIT), 0)
+    return {x for x in range(1, SEGMENT + 1) if bits >> x & 1}
 
 
 def standing_lines(df: DataFrame, text: str) -> list[list[str]]:
@@ -175,8 +197,8 @@ def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[st
     with at most one word in ten replaced, dropped or inserted.
 
     Method: edit-distance segment join. Texts are first reduced to distinct canonical texts, so copies meet once. The
-    numbers must be equal, so their hash is part of the join key. Evaluation texts are cut into segments (more than
-    edits), matched with the substrings of training texts, and verified with banded dynamic programming (per sentence if
+    numbers must be equal, so their hash is part of the join key. Evaluation texts are cut into segments (one more
+    than edits, as long as that allows), matched with the substrings of training texts, and verified with banded dynamic programming (per sentence if
     the order differs). Repeated deliveries count once; null ids, messages or contents match nothing; empty tables give
     no rows."""
     last = F.expr("element_at(filter(messages, m -> m.role = 'user'), -1).content")
@@ -203,13 +225,23 @@ def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[st
     ev = cut(texts(feats.filter("is_eval")), "p5eval")
     tr = cut(texts(feats.filter("not is_eval").join(small(sigs), "sig", "left_semi")), "p5train")
 
+    def lengths(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            sizes = [(n := body.count(" ") + 1, piece_length(n, list(starts))) for body, starts in zip(pdf["body"], pdf["starts"])]
+            yield pd.DataFrame(sorted(set(sizes)), columns=["n", "x"])
+
+    used: dict[int, int] = {}
+    for r in ev.select("body", "starts").mapInPandas(lengths, "n int, x int").distinct().collect():  # at most SEGMENT rows per number of words
+        used[r.n] = used.get(r.n, 0) | 1 << r.x
+
     def grams(cutter: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            of = cache(lambda m: partner_lengths(used, m))
             for pdf in batches:
                 ids, keys = [], []
                 for i, sig, body, starts in zip(pdf["text_id"], pdf["sig"], pdf["body"], pdf["starts"]):
                     ws = body.split(" ")
-                    found = {h64(f"{sig}|{p}") for p in (pieces(ws, list(starts)) if cutter == "eval" else substrings(ws))}
+                    found = {h64(f"{sig}|{p}") for p in (pieces(ws, list(starts)) if cutter == "eval" else substrings(ws, of(len(ws))))}
                     ids += [i] * len(found)
                     keys += found
                 yield pd.DataFrame({"text_id": np.array(ids, np.int64), "k": np.array(keys, np.int64)})
