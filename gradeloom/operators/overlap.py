@@ -10,26 +10,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.functions.ids import shingles_col
+from gradeloom.functions.ids import shingles_col, word_shingles_col
 from gradeloom.session import cut
 
-#: Jaccard similarity of 5-word shingles from which texts count as near.
-NEAR = 0.85
+#: Jaccard similarity of 5-word shingles from which texts count as near: the reference's against held-out prompts, and that of classes.
+NEAR, NEAR_CLASS = 0.85, 0.8
 #: Cells in which shingles are counted to order them by rarity.
 CELLS = 1 << 18
 
 
-def near_pairs(left: DataFrame, right: DataFrame, ident: str, text: str, least: float = NEAR) -> DataFrame:
+def near_pairs(left: DataFrame, right: DataFrame, ident: str, text: str, least: float = NEAR, shingles=shingles_col) -> DataFrame:
     """`a` (left id), `b` (right id), `similarity`: all pairs of texts whose 5-word shingles have a Jaccard similarity of
     at least `least`. Equal texts are compared once, so copies never multiply candidates: the result has a row per pair of
-    texts' representatives (the smallest id of each text). Texts of fewer than 10 shingles and null texts match nothing.
+    texts' representatives (the smallest id of each text). Texts whose shingles are null match nothing: null texts and, with
+    shingles_col, those of fewer than 10 shingles.
 
     Candidates come from a prefix filter: two such sets of shingles must share one of the first n - ceil(least n) + 1 of
     either in any common order. The order here is rarest first, by counts in CELLS hashed cells (a bounded array for the
     tasks; collisions only cost speed), so that frequent phrases are no join keys and no pair is missed."""
     def rep(df: DataFrame, name: str) -> DataFrame:
         one = df.filter(F.col(text).isNotNull()).groupBy(F.sha2(text, 256).alias("_t")).agg(F.min(ident).alias(name), F.min(text).alias("_text"))
-        return cut(one.select(name, shingles_col("_text").alias("sh")).filter("sh is not null"), "near")
+        return cut(one.select(name, shingles("_text").alias("sh")).filter("sh is not null"), "near")
 
     a = rep(left, "a")
     b = a.withColumnRenamed("a", "b") if right is left else rep(right, "b")
@@ -60,10 +61,11 @@ def near_pairs(left: DataFrame, right: DataFrame, ident: str, text: str, least:
     return both.withColumn("similarity", same / (F.size("x") + F.size("y") - same)).filter(F.col("similarity") >= least).select("a", "b", "similarity")
 
 
-def near_classes(df: DataFrame, ident: str, text: str, least: float = NEAR) -> DataFrame:
-    """A row per text class member: ident, `class_id` (smallest id among equal texts) and `links` (near texts of the class)."""
+def near_classes(df: DataFrame, ident: str, text: str, least: float = NEAR_CLASS) -> DataFrame:
+    """A row per text class member: ident, `class_id` (smallest id among equal texts) and `links` (near texts of the class).
+    Short texts are compared too, and each ideograph is a word."""
     member = df.filter(F.col(text).isNotNull()).groupBy(F.sha2(text, 256).alias("_t")).agg(F.min(ident).alias("class_id"))
-    pairs = near_pairs(df, df, ident, text, least).filter("a <> b")
+    pairs = near_pairs(df, df, ident, text, least, word_shingles_col).filter("a <> b")
     links = pairs.groupBy(F.col("a").alias("class_id")).agg(F.count("*").alias("links"))
     rows = df.filter(F.col(text).isNotNull()).select(F.col(ident), F.sha2(text, 256).alias("_t"))
     return rows.join(member, "_t").join(links, "class_id", "left").select(ident, "class_id", F.coalesce("links", F.lit(0)).alias("links"))
