@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from gradeloom.functions.ids import digest
 from gradeloom.operators.selection import first_per_key
 
-#: The domains.
-DOMAINS = ["math", "knowledge", "grounding", "logic", "python", "instruction", "structure", "quality", "multiturn", "long_context"]
+#: The domains, in the order in which tables show them.
+DOMAINS = ["math", "knowledge", "logic", "grounding", "quality", "instruction", "multiturn", "structure", "python", "long_context"]
 
 
 def invalid_reason() -> Column:
