@@ -32,6 +32,13 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return sampling.proportional_sample(table(spark, d, "splits"), table(spark, d, "share_targets"))[1]
 
 
+def p1_shortfall(spark: SparkSession, d: str) -> DataFrame:
+    """Per level: categories that are met, that could be met by themselves, and the rows that attainable ones lack."""
+    _, report = sampling.proportional_sample(table(spark, d, "splits"), table(spark, d, "share_targets"))
+    lack = F.sum(F.when(F.col("attainable"), F.col("short_by")))
+    return report.groupBy("target_level").agg(F.count("*").alias("categories"), F.count_if("met").alias("met"), F.count_if("attainable").alias("attainable"), lack.alias("short_by"), F.sum("selected").alias("selected"))
+
+
 def _p2(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     weights = spark.createDataFrame(WEIGHTS, "category string, revision int, weight double")
     return sampling.consistent_sample(table(spark, d, "splits"), weights, CONSTANT)
@@ -125,7 +132,7 @@ def p10_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries():
-    names = "p1_found p1_sample p1_report p2_sample p2_weights p3_token_budget p4_found p5_found p5_report p6_found p6_containers p6_fill p7_found p7_assignment p7_report p8_found p8_report p9_found p9_report p9_mix p10_found p10_report"
+    names = "p1_found p1_sample p1_report p1_shortfall p2_sample p2_weights p3_token_budget p4_found p5_found p5_report p6_found p6_containers p6_fill p7_found p7_assignment p7_report p8_found p8_report p9_found p9_report p9_mix p10_found p10_report"
     return {n: globals()[n] for n in names.split()}
 
 

@@ -16,35 +16,55 @@ from gradeloom.session import cut, small
 UNIT = 10**8
 #: Rows of one cell that one task orders; larger cells are cut by hash range.
 CHUNK = 50_000
-#: Raking works on one row per combination of target labels; more cells than this are refused, not truncated.
+#: No inclusion probability is less than this share of the overall rate.
+LEAST_RATE = 0.05
+#: The fit works on one row per combination of target labels; more cells than this are refused, not truncated.
 MAX_CELLS = 500_000
 
 
-def rake(counts: np.ndarray, member: list[np.ndarray], goals: list[np.ndarray], rounds: int = 200) -> np.ndarray:
-    """Inclusion probability per cell such that each category's expected rows approach its goal, capped at 1.
-    counts: rows per cell. member[l][c]: category of cell c at level l, -1 for none. goals[l]: wanted rows."""
-    p = np.full(len(counts), min(1.0, goals[0].sum() / max(1, counts.sum())) if len(goals) else 1.0)
-    for _ in range(rounds):
-        worst = 0.0
-        for of, goal in zip(member, goals):
-            if not len(goal):
-                continue
-            inside = of >= 0
-            free = inside & (p < 1)
-            now = np.bincount(of[inside], (p * counts)[inside], len(goal))
-            fixed = np.bincount(of[inside & ~free], counts[inside & ~free], len(goal))
-            room = now - fixed
-            factor = np.where(room > 1e-9, np.maximum(goal - fixed, 1e-9) / np.maximum(room, 1e-9), 1.0)
-            p[inside] = np.minimum(1.0, np.where(free, p * factor[of], p)[inside])
-            worst = max(worst, float(np.max(np.abs(factor - 1), initial=0)))
-        if worst < 1e-4:
-            break
-    return p
+def least_shortfall(counts: np.ndarray, member: list[np.ndarray], goals: list[np.ndarray], size: float, rounds: int = 1_500) -> np.ndarray:
+    """Inclusion probability per cell: they add up to `size` rows, and the expected rows that categories lack, over all
+    levels, are the fewest possible. counts: rows per cell. member[l][c]: category of cell c at level l, -1 for none.
+    goals[l]: wanted rows. A linear programme, solved by primal-dual steps with diagonal step sizes; among the many
+    solutions, that near one rate for all. No probability falls below LEAST_RATE of that rate, however targets conflict."""
+    total = counts.sum()
+    if not total or size >= total:
+        return np.ones(len(counts))
+    rate = size / total
+    low = LEAST_RATE * rate
+
+    def onto(q: np.ndarray) -> np.ndarray:
+        """The nearest point that keeps the size: all are shifted by one amount, within their bounds."""
+        a, b = low - q.max(), 1 - q.min()
+        for _ in range(40):
+            mid = (a + b) / 2
+            a, b = (mid, b) if (np.clip(q + mid, low, 1) * counts).sum() < size else (a, mid)
+        return np.clip(q + (a + b) / 2, low, 1)
+
+    inside = [of >= 0 for of in member]
+    held = [np.maximum(np.bincount(of[i], counts[i], len(g)), 1.0) for of, i, g in zip(member, inside, goals)]
+    p = onto(np.full(len(counts), rate))
+    lean = p
+    price = [np.zeros(len(g)) for g in goals]
+    mean, seen = np.zeros(len(counts)), 0
+    for step in range(rounds):
+        for of, i, g, h, y in zip(member, inside, goals, held, price):
+            y += (g - np.bincount(of[i], (counts * lean)[i], len(g))) / h
+            np.clip(y, 0, 1, out=y)
+        pull = np.zeros(len(counts))
+        for of, i, y in zip(member, inside, price):
+            pull[i] += y[of[i]]
+        new = onto(p + pull / max(1, len(goals)))
+        lean, p = 2 * new - p, new
+        if step >= rounds // 2:  # the mean of the later points settles where single ones still swing
+            mean += p
+            seen += 1
+    return onto(mean / max(1, seen))
 
 
 def proportional_sample(df: DataFrame, targets: DataFrame, levels: Sequence[str] = ("domain", "task", "stratum"), id_col: str = "id", seed: str = "p1") -> tuple[DataFrame, DataFrame]:
-    """(sample, report). Method: systematic unequal-probability sampling. Raked inclusion probabilities per cell of
-    labels; rows in random (hash) order within sorted cells; integer prefix sums across partitions; a row is taken where
+    """(sample, report). Method: systematic unequal-probability sampling. Inclusion probabilities per cell of labels
+    (least_shortfall, with the size as a hard condition); rows in random (hash) order within sorted cells; integer prefix sums across partitions; a row is taken where
     the sum crosses an integer after one random start; then floors are repaired with the next rows in random order.
 
     targets: target_level, category, target_share, sample_fraction, min_rows. Labels are equal when they differ only in
@@ -54,7 +74,9 @@ def proportional_sample(df: DataFrame, targets: DataFrame, levels: Sequence[str]
 
     sample: id and the levels' keys, `repaired` true for rows added for a floor (so the size may exceed the target by
     those). report, a row per category of targets: available, needed (the larger of min_rows and share x size),
-    selected, share, met (selected >= needed within one row and the floor), attainable (available >= needed)."""
+    selected, share, met (selected >= needed within one row and the floor), attainable (available >= needed), short_by
+    (rows that it lacks). Targets of different levels can contradict each other: then the lack is the least possible in
+    expectation, and attainable categories may be short."""
     spark = df.sparkSession
     goals = targets.select("target_level", "category", "target_share", "sample_fraction", "min_rows", label_key(F.col("category")).alias("key")).filter(F.col("target_level").isin(*levels)).collect()
     known = {lv: sorted({g.key for g in goals if g.target_level == lv and g.key}) for lv in levels}
@@ -86,10 +108,7 @@ def proportional_sample(df: DataFrame, targets: DataFrame, levels: Sequence[str]
                 goal[at[g.key]] = min(need[lv, g.key], have[at[g.key]])
         level_goals.append(goal)
         member.append(np.array([at[c[keys[i]]] if c[keys[i]] is not None else -1 for c in cells], int))
-    # the size itself is a last level of one category, so that conflicting targets do not shrink the sample
-    member.append(np.zeros(len(cells), int))
-    level_goals.append(np.array([min(size, float(total))]))
-    p = rake(counts, member, level_goals) if len(cells) and size else np.zeros(len(cells))
+    p = least_shortfall(counts, member, level_goals, size) if len(cells) and size else np.zeros(len(cells))
     rate = np.minimum(UNIT, np.round(p * UNIT)).astype("int64")
     before = np.concatenate([[0], np.cumsum(rate * counts.astype("int64"))])[:-1] if len(cells) else np.zeros(0, "int64")
     chunks = np.maximum(1, np.ceil(counts / CHUNK)).astype("int64")
@@ -135,10 +154,11 @@ def proportional_sample(df: DataFrame, targets: DataFrame, levels: Sequence[str]
     n = sum(v for (lv, _), v in got.items() if lv == levels[0]) or 1
     report = [
         (g.target_level, g.category, have.get((g.target_level, g.key), 0), float(need.get((g.target_level, g.key), 0.0)), got.get((g.target_level, g.key), 0), got.get((g.target_level, g.key), 0) / n,
-         got.get((g.target_level, g.key), 0) >= need.get((g.target_level, g.key), 0.0) - 1 and got.get((g.target_level, g.key), 0) >= (g.min_rows or 0), have.get((g.target_level, g.key), 0) >= need.get((g.target_level, g.key), 0.0))
+         got.get((g.target_level, g.key), 0) >= need.get((g.target_level, g.key), 0.0) - 1 and got.get((g.target_level, g.key), 0) >= (g.min_rows or 0), have.get((g.target_level, g.key), 0) >= need.get((g.target_level, g.key), 0.0),
+         float(max(0.0, need.get((g.target_level, g.key), 0.0) - got.get((g.target_level, g.key), 0))))
         for g in goals
     ]
-    return sample, spark.createDataFrame(report, "target_level string, category string, available long, needed double, selected long, share double, met boolean, attainable boolean")
+    return sample, spark.createDataFrame(report, "target_level string, category string, available long, needed double, selected long, share double, met boolean, attainable boolean, short_by double")
 
 
 def consistent_sample(df: DataFrame, weights: DataFrame, constant: float, category: str = "split", id_col: str = "id", revision: str = "data_revision", state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

@@ -39,11 +39,26 @@ def test_proportions_of_nothing(spark):
     assert sample.count() == 2  # floors take all there is
 
 
-def test_rake_meets_margins():
+def test_fit_meets_margins():
     counts = np.array([500.0, 300, 200, 10])
-    p = S.rake(counts, [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])], [np.array([60.0, 40]), np.array([70.0, 30])])
+    p = S.least_shortfall(counts, [np.array([0, 0, 1, 1]), np.array([0, 1, 0, 1])], [np.array([60.0, 40]), np.array([70.0, 30])], 100)
     got = p * counts
-    assert abs(got[0] + got[1] - 60) < 1 and abs(got[0] + got[2] - 70) < 1.5 and (p <= 1).all()
+    assert abs(got[0] + got[1] - 60) < 1 and abs(got[0] + got[2] - 70) < 1 and abs(got.sum() - 100) < 0.1 and (p <= 1).all()
+
+
+def test_fit_with_targets_in_conflict():
+    """Domain a may only come from task x, yet x is wanted less than a: 20 rows are lacking whatever is drawn, and no more."""
+    counts = np.array([400.0, 300, 300])
+    domain, task = np.array([0, 1, 1]), np.array([0, 1, 2])
+    goals = [np.array([60.0, 40]), np.array([40.0, 40, 20])]
+    p = S.least_shortfall(counts, [domain, task], goals, 100)
+    lack = sum(np.maximum(0, g - np.bincount(m, p * counts)).sum() for m, g in zip([domain, task], goals))
+    assert abs(lack - 20) < 0.5 and abs((p * counts).sum() - 100) < 0.1
+    assert p.min() >= 0.9 * S.LEAST_RATE * 0.1  # nobody is left out for good
+    # a category without rows, one wanted whole, and one cell for all
+    assert S.least_shortfall(np.array([10.0, 5.0]), [np.array([0, 1])], [np.array([3.0, 5.0])], 8.0)[1] > 0.98
+    assert S.least_shortfall(np.array([7.0]), [np.array([-1])], [np.zeros(0)], 3.0)[0] == pytest.approx(3 / 7)
+    assert S.least_shortfall(np.zeros(0), [np.zeros(0, int)], [np.zeros(0)], 0.0).size == 0
 
 
 def test_consistent_sample_only_grows(spark):
