@@ -1,78 +1,173 @@
-"""Passages of evaluation items inside documents: a positional inverted index and its phrase search."""
+"""Passages of evaluation items inside documents: a positional inverted index over the corpus and its phrase search."""
 
 from __future__ import annotations
 
-from collections import Counter
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.words import plain_words, undress, words
+from gradeloom.session import cut, small
 
 #: Words that a stretch must have (or the whole question, if it is shorter), and words per allowed edit.
 STRETCH, PER_EDIT = 20, 10
-#: Words of the documents that one local index holds.
-BLOCK = 1_000_000
-#: Items searched at a time, and items held at most; more are refused (they are collected to be sent to all tasks).
-ITEMS = 4_000
-MAX_ITEMS = 200_000
-#: Edits that some 20-word window of any qualifying stretch can have at most, hence trigrams lost and kept.
-_WORST = 3
-
-
-def standing_endings(questions: list[list[str]], shared: int = 3, longest: int = 30) -> set[tuple[str, ...]]:
-    """Word tuples that close many questions: the standing answer instructions. questions: words per sentence, last first."""
-    ends = Counter(tuple(q) for q in questions if 0 < len(q) <= longest)
-    return {e for e, n in ends.items() if n >= shared}
-
-
-class Items:
-    """Words of the items as codes, and their trigrams; shipped to the tasks."""
-
-    def __init__(self, ids: list[int], texts: list[list[str]]):
-        vocabulary = sorted({w for t in texts for w in t})
-        self.code = {w: i + 1 for i, w in enumerate(vocabulary)}
-        self.base = len(vocabulary) + 1
-        self.ids = np.array(ids, np.int64)
-        self.words = [np.array([self.code[w] for w in t], np.int64) for t in texts]
-        self.length = np.array([len(w) for w in self.words], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.length)])[:-1]
-        self.flat = np.concatenate(self.words) if self.words else np.zeros(0, np.int64)
-        self.of = np.repeat(np.arange(len(ids)), self.length)
-        pos = np.arange(len(self.flat)) - self.start[self.of] if len(self.flat) else self.flat
-        at = np.flatnonzero(pos + 2 < self.length[self.of]) if len(self.flat) else np.zeros(0, np.int64)
-        self.gram_at = at
-        grams = (self.flat[at] * self.base + self.flat[at + 1]) * self.base + self.flat[at + 2] if len(at) else at
-        self.grams, self.gram_of = np.unique(grams, return_inverse=True)
-
-
-def _kept(items: Items, frequency: np.ndarray) -> np.ndarray:
-    """Indexes into gram_at of the trigrams to look up, from the rarest on. A qualifying stretch has a window of 20 words
-    with at most 3 edits (2 per 20 words on average); these spoil at most 9 of its 18 trigrams, so of any 10 trigrams of
-    the window one is intact: the 10 rarest of every window suffice, and nothing is missed. A shorter item is one window."""
-    f = frequency[items.gram_of].astype(float) + np.arange(len(items.gram_of)) * 1e-9
+#: Words of a term, i.e. of an entry of the index.
+TERM = 3
+#: Edits that a STRETCH-word window of any qualifying stretch has at most (3 per 30 to 39 words), and terms that must agree.
+WORST, AGREE = 3, 3
+#: Bits of the table by which documents leave out terms that no item has. Its size is fixed; more items only make it denser.
+BITS = 1 << 24
+#: A closing sentence is a standing instruction when it ends one item in so many, and at least FEWEST items.
+ONE_IN, FEWEST = 200, 3
+#: Width of the bands of offsets in which terms are counted; twice the drift that edits cause, and two layers of bands.
+BAND = 8
+#: Candidates of one document that are verified in one row.
+TOGETHER = 500
+_SENTENCE = re.compile(r"(?<=[.?!。？！])\s+|\n+")
+
+
+def terms(ws: list[str], memo: dict[str, int], n: int = TERM) -> np.ndarray:
+    """Hash of each run of n words, by position; memo holds hashes of words."""
+    code = np.empty(len(ws), np.uint64)
+    for i, w in enumerate(ws):
+        h = memo.get(w)
+        if h is None:
+            if len(memo) > 500_000:  # bounds a worker's memory only
+                memo.clear()
+            h = memo[w] = xxhash.xxh64_intdigest(w)
+        code[i] = h
+    if len(code) < n:
+        return np.zeros(0, np.int64)
+    with np.errstate(over="ignore"):
+        out = code[: len(code) - n + 1].copy()
+        for k in range(1, n):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + code[k : len(code) - n + 1 + k]
+        out ^= out >> np.uint64(29)
+    return out.view(np.int64)
+
+
+def questions(pool: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(item_id, q) and (q, body): the distinct questions as words without a standing closing instruction. A closing
+    sentence is one if it ends at least one question in ONE_IN (so there are at most ONE_IN of them) and FEWEST."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, text in zip(pdf["item_id"], pdf["question"]):
+                plain = undress(text)
+                parts = [p for p in _SENTENCE.split(plain.strip()) if p.strip()]
+                rows.append((i, " ".join(words(plain)), " ".join(words(parts[-1])) if len(parts) > 1 else ""))
+            yield pd.DataFrame(rows, columns=["item_id", "body", "last"])
+
+    rows = pool.filter("item_id is not null and question is not null").select("item_id", "question").distinct()
+    rows = cut(rows.mapInPandas(run, "item_id long, body string, last string"), "p8questions")
+    least = max(FEWEST, -(-rows.count() // ONE_IN))
+    ends = rows.filter("last <> '' and last <> body").groupBy("last").agg(F.countDistinct("body").alias("n")).filter(F.col("n") >= least).select("last", F.lit(True).alias("standing"))
+    short = F.when(F.col("standing"), F.expr("left(body, length(body) - length(last) - 1)")).otherwise(F.col("body"))
+    rows = rows.join(F.broadcast(ends), "last", "left").select("item_id", short.alias("body")).filter("body <> ''")  # ends: at most ONE_IN rows
+    rows = cut(rows.select("item_id", "body", F.xxhash64("body").alias("q")), "p8items")
+    return rows.select("item_id", "q").distinct(), rows.select("q", "body").dropDuplicates(["q"])
+
+
+def question_terms(asked: DataFrame) -> DataFrame:
+    """q, m (words), off, term: all terms of each question; one of fewer words than a term is a term itself."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        memo: dict[str, int] = {}
+        for pdf in batches:
+            q, m, off, term = [], [], [], []
+            for i, body in zip(pdf["q"], pdf["body"]):
+                ws = body.split(" ")
+                t = terms(ws, memo, min(TERM, len(ws)))
+                q.append(np.full(len(t), i))
+                m.append(np.full(len(t), len(ws)))
+                off.append(np.arange(len(t)))
+                term.append(t)
+            yield pd.DataFrame({"q": np.concatenate(q), "m": np.concatenate(m), "off": np.concatenate(off), "term": np.concatenate(term)}) if q else pd.DataFrame({"q": [], "m": [], "off": [], "term": []})
+
+    return asked.mapInPandas(run, "q long, m int, off int, term long")
+
+
+def postings(documents: DataFrame, asked_terms: DataFrame) -> DataFrame:
+    """doc_id, pos, term: the positional index of the documents, written once as a table. It holds the terms that some
+    question has, and few others: a table of BITS bits goes to the tasks, whatever the number of questions."""
+    cell = F.pmod("term", F.lit(BITS))
+    parts = asked_terms.select(cell.alias("c")).groupBy((F.col("c") / F.lit(64)).cast("int").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(c % 64 as int))")).alias("bits")).collect()  # at most BITS / 64 rows
+    table = np.zeros(BITS // 64, np.uint64)
+    for r in parts:
+        table[r.at] = np.int64(r.bits).view(np.uint64)
+    sizes = {TERM, *(r.n for r in asked_terms.filter(F.col("m") < TERM).select(F.col("m").alias("n")).distinct().collect())}
+    spark = documents.sparkSession
+    sent = spark.sparkContext.broadcast((np.unpackbits(table.view(np.uint8), bitorder="little"), sorted(sizes)))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, lengths = sent.value
+        memo: dict[str, int] = {}
+        for pdf in batches:
+            ids, at, found = [], [], []
+            for i, text in zip(pdf["doc_id"], pdf["text"]):
+                ws = plain_words(text)
+                for n in lengths:
+                    t = terms(ws, memo, n)
+                    hit = np.flatnonzero(known[t & (BITS - 1)])
+                    if len(hit):
+                        ids.append(np.full(len(hit), i))
+                        at.append(hit)
+                        found.append(t[hit])
+            if ids:
+                yield pd.DataFrame({"doc_id": np.concatenate(ids), "pos": np.concatenate(at), "term": np.concatenate(found)})
+
+    rows = documents.filter("doc_id is not null and text is not null").select("doc_id", "text")
+    return cut(rows.mapInPandas(run, "doc_id long, pos int, term long"), "p8postings")
+
+
+def rarest(frequency: np.ndarray, m: int) -> np.ndarray:
+    """Which terms of a question of m words are looked up, by their frequencies in the corpus. A qualifying stretch has a
+    window of STRETCH words with at most WORST edits, which spoil three terms each at most; so of any 3 WORST + AGREE terms
+    of the window, AGREE are intact, and the rarest so many of every window are enough. A shorter question is one window."""
+    f = frequency + np.arange(len(frequency)) * 1e-9
     keep = np.zeros(len(f), bool)
-    item = items.of[items.gram_at]
-    bounds = np.flatnonzero(np.diff(item, prepend=-1)) if len(item) else []
-    for a, b in zip(bounds, [*bounds[1:], len(item)]):
-        m = b - a + 2
-        v = f[a:b]
-        if m <= STRETCH:
-            n = min(len(v), 3 * (m // PER_EDIT) + 1)
-            keep[a:b][np.argpartition(v, n - 1)[:n]] = True
-            continue
-        n = 3 * _WORST + 1
-        win = np.lib.stride_tricks.sliding_window_view(v, STRETCH - 2)
-        limit = np.partition(win, n - 1, axis=1)[:, n - 1]
-        # a trigram is kept if it is among the n rarest of some window that holds it
-        ceiling = np.full(len(v), -1.0)
-        for k in range(STRETCH - 2):
-            np.maximum(ceiling[k : k + len(limit)], limit, out=ceiling[k : k + len(limit)])
-        keep[a:b] = v <= ceiling
-    return np.flatnonzero(keep)
+    if m < STRETCH:
+        n = min(len(f), 3 * (m // PER_EDIT) + AGREE)
+        keep[np.argpartition(f, n - 1)[:n]] = True
+        return keep
+    n, width = min(3 * WORST + AGREE, STRETCH - TERM + 1), STRETCH - TERM + 1
+    limit = np.partition(np.lib.stride_tricks.sliding_window_view(f, width), n - 1, axis=1)[:, n - 1]
+    ceiling = np.full(len(f), -1.0)  # a term is kept if it is among the n rarest of some window that holds it
+    for k in range(width):
+        np.maximum(ceiling[k : k + len(limit)], limit, out=ceiling[k : k + len(limit)])
+    return f <= ceiling
+
+
+def looked_up(asked_terms: DataFrame, index: DataFrame) -> DataFrame:
+    """q, m, off, term of the rarest terms of each question that occur at all, by the counts of the whole index."""
+    counts = index.groupBy("term").agg(F.count("*").alias("n"))
+    per = asked_terms.join(counts, "term", "left").groupBy("q", "m").agg(F.sort_array(F.collect_list(F.struct("off", "term", F.coalesce("n", F.lit(0)).alias("n")))).alias("t"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for q, m, t in zip(pdf["q"], pdf["m"], pdf["t"]):
+                n = np.array([x["n"] for x in t], float)
+                rows += [(q, m, t[k]["off"], t[k]["term"]) for k in np.flatnonzero(rarest(n, m) & (n > 0))]
+            yield pd.DataFrame(rows, columns=["q", "m", "off", "term"])
+
+    return cut(per.mapInPandas(run, "q long, m int, off int, term long"), "p8terms")
+
+
+def agreeing(index: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id, q, low: bands of offsets (low to low + BAND) in which enough of the looked-up terms of a question stand in a
+    document: AGREE, or all if a question has fewer. Lists are intersected by their offsets: pos - off differs by WORST at most
+    within a window, so one of two layers of bands holds all of it."""
+    hits = index.join(small(wanted), "term").select("doc_id", "q", "m", "off", (F.col("pos") - F.col("off")).alias("d"))
+    low = F.explode(F.array(*[(F.floor((F.col("d") + F.lit(s)) / F.lit(BAND)) * BAND - s).cast("int") for s in (0, BAND // 2)]))
+    need = F.least(F.lit(AGREE), F.greatest(F.col("m") - TERM + 1, F.lit(1)))
+    return hits.select("doc_id", "q", "m", "off", low.alias("low")).groupBy("doc_id", "q", "m", "low").agg(F.size(F.collect_set("off")).alias("n")).filter(F.col("n") >= need).select("doc_id", "q", "low")
 
 
 def _reach(a: np.ndarray, b: np.ndarray, edits: int) -> list[int]:
@@ -82,21 +177,16 @@ def _reach(a: np.ndarray, b: np.ndarray, edits: int) -> list[int]:
     for e in range(edits + 1):
         new = {}
         for d in range(-e, e + 1):
-            best = -1
-            if e == 0:
-                best = 0
-            else:
-                if d in front:
-                    best = max(best, front[d] + 1)  # replaced
-                if d + 1 in front:
-                    best = max(best, front[d + 1] + 1)  # dropped from the document
-                if d - 1 in front:
-                    best = max(best, front[d - 1])  # inserted into the document
-            if best < 0:
-                continue
+            best = 0 if e == 0 else -1
+            if d in front:
+                best = max(best, front[d] + 1)  # replaced
+            if d + 1 in front:
+                best = max(best, front[d + 1] + 1)  # dropped from the document
+            if d - 1 in front:
+                best = max(best, front[d - 1])  # inserted into the document
             best = min(best, n)
             j = best + d
-            if j < 0 or j > m:
+            if best < 0 or j < 0 or j > m:
                 continue
             while best < n and j < m and a[best] == b[j]:
                 best += 1
@@ -110,124 +200,73 @@ def _reach(a: np.ndarray, b: np.ndarray, edits: int) -> list[int]:
     return out
 
 
-def _stretch(q: np.ndarray, t: np.ndarray, i: int, j: int) -> bool:
-    """Whether a stretch of q around the trigram q[i:i+3] == t[j:j+3] qualifies."""
+def _stretch(q: np.ndarray, t: np.ndarray, i: int, j: int, n: int) -> bool:
+    """Whether a stretch of q around the n equal words q[i:i+n] and t[j:j+n] qualifies."""
     m = len(q)
-    if m < STRETCH:
-        most, least = m // PER_EDIT, m
-    else:
-        most, least = m // PER_EDIT, STRETCH
-    right, left = _reach(q[i + 3 :], t[j + 3 :], most), _reach(q[:i][::-1], t[:j][::-1], most)
-    return any(3 + r + x >= max(least, PER_EDIT * (a + b)) for a, r in enumerate(right) for b, x in enumerate(left) if a + b <= most)
-
-
-def search_block(items: Items, docs: list[list[str]]) -> list[tuple[int, int]]:
-    """(document number, item number) of all matches in a block, by a positional inverted index over its words: postings
-    of word positions sorted by trigram, lists of the rarest trigrams of each item read, offset-adjusted agreement of the
-    words around each posting counted, and the remaining places verified by edit distance in words."""
-    gap = [0] * (STRETCH * 2)
-    flat, starts = [], []
-    get = items.code.get
-    for d in docs:
-        flat += gap
-        starts.append(len(flat))
-        flat += [get(w, 0) for w in d]
-    flat += gap
-    t = np.array(flat, np.int64)
-    ok = (t[:-2] > 0) & (t[1:-1] > 0) & (t[2:] > 0)
-    at = np.flatnonzero(ok)
-    grams = (t[at] * items.base + t[at + 1]) * items.base + t[at + 2]
-    where = np.searchsorted(items.grams, grams)
-    where[where == len(items.grams)] = 0
-    known = items.grams[where] == grams if len(items.grams) else np.zeros(len(grams), bool)
-    at, where = at[known], where[known]
-    order = np.argsort(where, kind="stable")
-    postings = at[order]
-    frequency = np.bincount(where, minlength=len(items.grams))
-    first = np.concatenate([[0], np.cumsum(frequency)])[:-1]
-    kept = _kept(items, frequency)
-    n = frequency[items.gram_of[kept]]
-    kept, n = kept[n > 0], n[n > 0]
-    starts_a = np.array(starts)
-    found: set[tuple[int, int]] = set()
-    total = np.cumsum(n)
-    for lo in range(0, int(total[-1]) if len(total) else 0, 200_000):
-        hi = min(lo + 200_000, int(total[-1]))
-        hits = np.arange(lo, hi)
-        g = np.searchsorted(total, hits, side="right")
-        inside = hits - (total[g] - n[g])
-        pos = postings[first[items.gram_of[kept[g]]] + inside]
-        q = items.gram_at[kept[g]]
-        it = items.of[q]
-        # agreement with drift: word q+s of the item against words pos+s-3 .. pos+s+3 of the document
-        span = np.arange(-STRETCH + 3, STRETCH)
-        qi = q[:, None] + span
-        inside_q = (qi >= items.start[it][:, None]) & (qi < (items.start[it] + items.length[it])[:, None])
-        word = np.where(inside_q, items.flat[np.clip(qi, 0, len(items.flat) - 1)], -1)
-        agree = np.zeros(word.shape, bool)
-        for drift in range(-_WORST, _WORST + 1):
-            agree |= t[np.clip(pos[:, None] + span + drift, 0, len(t) - 1)] == word
-        sums = np.cumsum(np.concatenate([np.zeros((len(pos), 1), int), agree], axis=1), axis=1)
-        best = (sums[:, STRETCH:] - sums[:, :-STRETCH]).max(axis=1)
-        m = items.length[it]
-        need = np.where(m >= STRETCH, STRETCH - _WORST, m - m // PER_EDIT)
-        for x in np.flatnonzero(best >= need):
-            d = int(np.searchsorted(starts_a, pos[x], side="right")) - 1
-            key = (d, int(it[x]))
-            if key in found:
-                continue
-            i, j = int(q[x] - items.start[it[x]]), int(pos[x])
-            own = items.words[it[x]]
-            slack = len(own) // PER_EDIT + 1
-            a = max(starts_a[d], j - i - slack)
-            if _stretch(own, t[a : min(starts_a[d] + len(docs[d]), j + len(own) - i + slack)], i, j - a):
-                found.add(key)
-    return sorted(found)
+    most, least = m // PER_EDIT, min(m, STRETCH)
+    right, left = _reach(q[i + n :], t[j + n :], most), _reach(q[:i][::-1], t[:j][::-1], most)
+    return any(n + r + x >= max(least, PER_EDIT * (a + b)) for a, r in enumerate(right) for b, x in enumerate(left) if a + b <= most)
+
+
+def holds(q: np.ndarray, t: np.ndarray, low: int) -> bool:
+    """Whether the words t hold a qualifying stretch of the question q around an offset in the band from low on. Windows in
+    which too few terms are intact at these offsets are out; in the others each run of equal words is tried, and its ends
+    are found by edit distance."""
+    m, n = len(q), min(TERM, len(q))
+    at = np.arange(m) + np.arange(low, low + BAND)[:, None]
+    same = (t[np.clip(at, 0, len(t) - 1)] == q) & (at >= 0) & (at < len(t))
+    term = same[:, : m - n + 1].copy()
+    for k in range(1, n):
+        term &= same[:, k : m - n + 1 + k]
+    intact = np.concatenate([[0], np.cumsum(term.any(axis=0))])
+    width = min(m, STRETCH) - n + 1
+    fine = np.flatnonzero(intact[width:] - intact[:-width] >= max(1, width - n * (WORST if m >= STRETCH else m // PER_EDIT)))
+    if not len(fine):
+        return False
+    slack = m // PER_EDIT + 1
+    for d in np.flatnonzero(term.any(axis=1)):
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], same[d].view(np.int8), [0]])))
+        start = max(0, low + int(d) - slack)
+        for s, e in zip(edge[::2], edge[1::2]):
+            if e - s >= n and s < fine[-1] + STRETCH and e > fine[0] and _stretch(q, t[start : low + d + m + slack], s, s + low + d - start, e - s):
+                return True
+    return False
 
 
 def leaked_items(documents: DataFrame, pool: DataFrame) -> DataFrame:
     """`doc_id`, `item_id`: documents that hold a stretch of at least 20 words of an item's question (or all of it) with
     at most one word in ten replaced, dropped or inserted; case, punctuation, accents, character forms, markup, escapes,
-    invisible characters, line breaks and hyphenation do not count. Standing answer instructions (closing sentences that
-    several items share) are no part of a question.
-
-    Method: positional inverted index, partitioned by document: every task indexes its own blocks of documents and runs
-    all items against them, so no posting is shuffled. The item set is a stated query set with a checked bound
-    (MAX_ITEMS), sent to the tasks in blocks of ITEMS. Null texts, ids or questions match nothing; repeated rows count
-    once; items of fewer than 5 words are searched as a whole phrase of at least 3 words."""
-    import re
-
-    rows = pool.filter("item_id is not null and question is not null").select("item_id", "question").distinct().limit(MAX_ITEMS + 1).collect()
-    if len(rows) > MAX_ITEMS:
-        raise ValueError(f"more than {MAX_ITEMS} items")
-    sentence = re.compile(r"(?<=[.?!。？！])\s+|\n+")
-    texts, lasts = [], []
-    for r in sorted(rows, key=lambda r: r.item_id):
-        parts = [p for p in sentence.split(undress(r.question).strip()) if p.strip()]
-        texts.append((r.item_id, words(undress(r.question))))
-        lasts.append(words(parts[-1]) if len(parts) > 1 else [])
-    shared = standing_endings(lasts)
-    cleaned = [(i, w[: len(w) - len(e)] if tuple(e) in shared else w) for (i, w), e in zip(texts, lasts)]
-    cleaned = [(i, w) for i, w in cleaned if len(w) >= 3]
-    blocks = [Items([i for i, _ in cleaned[a : a + ITEMS]], [w for _, w in cleaned[a : a + ITEMS]]) for a in range(0, len(cleaned), ITEMS)]
-    sent = documents.sparkSession.sparkContext.broadcast(blocks)
+    invisible characters, line breaks and hyphenation do not count. Standing answer instructions (closing sentences of one
+    item in ONE_IN) are no part of a question.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(ids: list[int], docs: list[list[str]]) -> pd.DataFrame:
-            pairs = [(ids[d], int(items.ids[i])) for items in sent.value for d, i in search_block(items, docs)]
-            return pd.DataFrame(pairs, columns=["doc_id", "item_id"]).astype("int64")
+    Method: distributed positional inverted index. Postings of three-word terms of the corpus are stored as a table; counts
+    over the whole corpus tell the rarest terms of each question; their lists are joined by term and intersected by offset;
+    documents with enough terms at one place are read again and verified by edit distance in words. The terms looked up
+    leave out no qualifying stretch (see `rarest`). No item, posting or document is collected; broadcast are a bit table of
+    fixed size and, only if counted to be small, the terms that are looked up.
+
+    Null texts, ids or questions match nothing, as do questions without words; repeated rows count once; a question of one or
+    two words is looked up as such; empty tables give no rows."""
+    items, asked = questions(pool)
+    every = cut(question_terms(asked), "p8all")
+    index = postings(documents, every)
+    bands = agreeing(index, looked_up(every, index)).groupBy("doc_id", "q").agg(F.collect_set("low").alias("lows"))
+    part = F.floor(F.row_number().over(Window.partitionBy("doc_id").orderBy("q")) / F.lit(TOGETHER))
+    found = bands.join(small(asked), "q").withColumn("part", part).groupBy("doc_id", "part").agg(F.collect_list(F.struct("q", "body", "lows")).alias("c"))
+    found = cut(found, "p8found")
+    texts = documents.filter("doc_id is not null and text is not null").select("doc_id", "text").join(small(found.select("doc_id").distinct()), "doc_id", "left_semi")
 
-        ids, docs, size = [], [], 0
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for i, text in zip(pdf["doc_id"], pdf["text"]):
-                w = plain_words(text)
-                ids.append(i)
-                docs.append(w)
-                size += len(w)
-                if size >= BLOCK:
-                    yield found(ids, docs)
-                    ids, docs, size = [], [], 0
-        if docs:
-            yield found(ids, docs)
-
-    return documents.filter("doc_id is not null and text is not null").select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long").distinct()
+            rows = []
+            for i, text, c in zip(pdf["doc_id"], pdf["text"], pdf["c"]):
+                code: dict[str, int] = {}
+                t = np.array([code.setdefault(w, len(code)) for w in plain_words(text)], np.int64)
+                for x in c:
+                    q = np.array([code.get(w, -1) for w in x["body"].split(" ")], np.int64)
+                    if any(holds(q, t, int(low)) for low in x["lows"]):
+                        rows.append((i, x["q"]))
+            yield pd.DataFrame(rows, columns=["doc_id", "q"]).astype("int64")
+
+    same = texts.join(found, "doc_id").mapInPandas(verify, "doc_id long, q long").distinct()
+    return same.join(small(items), "q").select("doc_id", "item_id").distinct()
