@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,10 +20,10 @@ from gradeloom.session import cut, small
 
 #: Words per allowed edit, and most words of a segment.
 PER_EDIT, SEGMENT = 10, 5
-#: A closing line is a standing instruction when it ends at least so many different texts.
-STANDING = 12
-#: Standing instructions are a fixed list in practice; more are refused, as they are sent to all tasks.
-MAX_STANDING = 20_000
+#: A closing line is a standing instruction when it ends different texts, one for every so many records and at least FEWEST.
+ONE_IN, FEWEST = 200, 5
+#: Words of a closing line that count; a longer one is no instruction on how to answer.
+LONGEST_LINE = 60
 _STOP = re.compile(r"(?<=[.?!。？！])\s+|(?<=[。？！])|\n+")
 #: Digits in groups of three; a single point may be a decimal sign.
 _GROUPED = re.compile(r"(?<![\d.,])\d{1,3}(?:(?:[,，'’\u00a0\u2009\u202f]\d{3})+|(?:\.\d{3}){2,})(?!\d|[.,]\d{3}(?!\d))")
@@ -93,7 +94,7 @@ def edit_within(a: list[str], b: list[str], k: int) -> int:
     return row.get(m, far)
 
 
-def _inside(s: list[str], t: list[str]) -> tuple[int, int, int]:
+def _inside(s: list[str], t: list[str | None]) -> tuple[int, int, int]:
     """(edits, start, end) of the best place of s inside t."""
     m = len(t)
     row = [(0, j) for j in range(m + 1)]
@@ -138,69 +139,86 @@ def same_question(a: list[str], a_starts: list[int], b: list[str], b_starts: lis
             edits += len(s)
             continue
         edits += d
-        rest = rest[:lo] + rest[hi:]
+        # what stood on both sides of a sentence does not become one text: a mark that equals no word stays between
+        rest = rest[:lo] + [None] + rest[hi:]
         if edits > k:
             return False
-    return edits + len(rest) <= k
+    return edits + sum(w is not None for w in rest) <= k
 
 
 def piece_length(n: int, starts: list[int]) -> int:
-    """Words of a segment of an evaluation text: the most, up to SEGMENT, that give one segment more than there may be
-    edits, when no segment crosses a sentence. The longest text that it can pair with has n/0.9 words, so n//9 edits."""
+    """Words of a segment of a text: the most, up to SEGMENT, that give one segment more than there may be edits, when no
+    segment crosses a sentence. The longest text that it can pair with has n/0.9 words, so n//9 edits."""
     spans = [e - s for s, e in zip(starts, [*starts[1:], n])]
     return next(x for x in range(SEGMENT, 0, -1) if x == 1 or sum(s // x for s in spans) > n // (PER_EDIT - 1))
 
 
-def pieces(ws: list[str], starts: list[int]) -> list[str]:
-    """Segments of an evaluation text. Each edit spoils one at most, so one stays intact. Texts of less than PER_EDIT words
-    allow no edit among themselves and are one key; one of PER_EDIT - 1 may also pair with a longer one."""
-    out = [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else []
+def pieces(ws: list[str], starts: list[int]) -> list[tuple[str, int, int, int]]:
+    """(words, place in the text, in its sentence, and before the sentence's end) of each segment. Each edit spoils one segment at most, so one stays
+    intact. Texts of less than PER_EDIT words allow no edit among themselves and are one key; one of PER_EDIT - 1 may also
+    pair with a longer one."""
+    out = [(f"={' '.join(sorted(ws))}", 0, 0, 0)] if len(ws) < PER_EDIT else []
     if len(ws) >= PER_EDIT - 1:
         x = piece_length(len(ws), starts)
-        out += [" ".join(ws[i : i + x]) for s, e in zip(starts, [*starts[1:], len(ws)]) for i in range(s, e - x + 1, x)]
+        out += [(" ".join(ws[i : i + x]), i, i - s, e - i) for s, e in zip(starts, [*starts[1:], len(ws)]) for i in range(s, e - x + 1, x)]
     return out
 
 
-def substrings(ws: list[str], lengths: set[int]) -> list[str]:
-    """Where a segment of one of the lengths may stand in a training text: sentences may come in any order, so every
-    position is allowed."""
-    out = [f"={' '.join(sorted(ws))}"] if len(ws) < PER_EDIT else []
-    return out + [" ".join(ws[i : i + x]) for x in lengths if len(ws) >= PER_EDIT - 1 for i in range(len(ws) - x + 1)]
+def substrings(ws: list[str], starts: list[int], lengths: set[int]) -> list[tuple[str, int, int, int]]:
+    """Where a segment of one of the lengths may stand in the other text; which places are allowed is told by `allowed`."""
+    out = [(f"={' '.join(sorted(ws))}", 0, 0, 0)] if len(ws) < PER_EDIT else []
+    spans = np.diff([*starts, len(ws)])
+    of, to = np.repeat(starts, spans).tolist(), np.repeat([*starts[1:], len(ws)], spans).tolist()
+    return out + [(" ".join(ws[i : i + x]), i, i - of[i], to[i] - i) for x in lengths if len(ws) >= PER_EDIT - 1 for i in range(len(ws) - x + 1)]
+
+
+def allowed():
+    """Condition on a segment of text 1 and its place in text 2: the place in the text differs by no more than there may be
+    edits (the sentences stand in the same order), or the place within the sentence, from its start or its end, does (they
+    do not), or the texts show different numbers of sentences: then it may stand anywhere."""
+    far = F.greatest("n1", "n2") / F.lit(PER_EDIT)
+    near = lambda c: F.abs(F.col(f"{c}1") - F.col(f"{c}2")) <= far
+    return near("p") | near("s") | near("r") | (F.col("c1") != F.col("c2"))
+
+
+def size_band(n: int) -> int:
+    """Texts that can be the same question are in the same or in neighbouring bands."""
+    return int(math.log(max(n, 1)) / -math.log(1 - 1 / PER_EDIT))
 
 
 def partner_lengths(used: dict[int, int], m: int) -> set[int]:
-    """Segment lengths of the evaluation texts that a training text of m words may pair with; used: per number of words,
-    the lengths as bits."""
+    """Segment lengths of the texts that a text of m words may pair with; used: per number of words, the lengths as bits."""
     k = m // (PER_EDIT - 1)
     bits = reduce(or_, (used.get(n, 0) for n in range(m - k, m + k + 1) if abs(n - m) <= max(n, m) // PER_EDIT), 0)
     return {x for x in range(1, SEGMENT + 1) if bits >> x & 1}
 
 
 def standing_lines(df: DataFrame, text: str) -> list[list[str]]:
-    """Closing lines that end at least STANDING different texts, as words."""
+    """Closing lines that end one different text per ONE_IN records or more (so there are at most ONE_IN of them), as words."""
     whole = F.trim(F.col(text))
     last = F.substring_index(whole, "\n", -1)
     body, line = F.left(whole, F.length(whole) - F.length(last)), F.lower(F.trim(last))
-    lines = df.filter(F.col(text).contains("\n")).select(line.alias("line"), F.xxhash64(body).alias("h")).filter("length(line) <= 300")
+    every = df.filter(F.length(whole) > 0).count()
+    lines = df.filter(F.col(text).contains("\n")).select(line.alias("line"), F.xxhash64(body).alias("h")).filter(F.size(F.split("line", " ")) <= LONGEST_LINE)
     # two steps: a line that closes a third of all texts is counted in many parts
     parts = lines.distinct().groupBy("line", F.pmod("h", F.lit(64)).alias("part")).count()
-    found = parts.groupBy("line").agg(F.sum("count").alias("n")).filter(F.col("n") >= STANDING).limit(MAX_STANDING + 1).collect()
-    if len(found) > MAX_STANDING:
-        raise ValueError(f"more than {MAX_STANDING} standing lines")
+    found = parts.groupBy("line").agg(F.sum("count").alias("n")).filter(F.col("n") >= max(FEWEST, every / ONE_IN)).collect()
     return [words(r.line) for r in found]
 
 
-def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[str, ...] = ("rl_val", "main_test")) -> DataFrame:
-    """`train_id`, `eval_id`, and splits, tasks and sources of both: each evaluation record whose question (the last user
-    message) stands in training, exactly or nearly. Nearly: the same words and numbers apart from case, punctuation,
+def overlap_classes(df: DataFrame, train: str = "rl_train", evals: tuple[str, ...] = ("rl_val", "main_test")) -> tuple[DataFrame, DataFrame]:
+    """(pairs, members). pairs: `e`, `t`, classes of records with the same canonical question, one of evaluation records and
+    one of training records, that are the same question exactly or nearly. members: `text_id` (the class), `is_eval`, `id`,
+    `split`, `task`, `source`, a row per record. Copies are members of their class and multiply no pairs. Nearly: the same words and numbers apart from case, punctuation,
     character forms, layout, list numbers, order of sentences and the standing answer instruction on the closing line,
     with at most one word in ten replaced, dropped or inserted.
 
-    Method: edit-distance segment join. Texts are first reduced to distinct canonical texts, so copies meet once. The
-    numbers must be equal, so their hash is part of the join key. Evaluation texts are cut into segments (one more
-    than edits, as long as that allows), matched with the substrings of training texts, and verified with banded dynamic programming (per sentence if
-    the order differs). Repeated deliveries count once; null ids, messages or contents match nothing; empty tables give
-    no rows."""
+    Method: edit-distance segment join, on distinct canonical texts, so that copies meet once. The numbers must be equal,
+    so their hash is part of the join key, as is a band of lengths. Texts are cut into one segment more than there may be
+    edits, and matched with the substrings of the other side at allowed positions: evaluation segments in training texts
+    and, since only one side may show where sentences end, training segments in evaluation texts. Pairs are verified with
+    banded dynamic programming (per sentence if the order differs). Repeated deliveries count once; null ids, messages or
+    contents match nothing; empty tables give no rows."""
     last = F.expr("element_at(filter(messages, m -> m.role = 'user'), -1).content")
     wanted = df.filter(F.col("id").isNotNull() & F.col("split").isin(train, *evals)).select("id", "split", "task", "source", last.alias("q")).filter("q is not null")
     endings: dict[int, list[tuple[str, ...]]] = {}
@@ -230,27 +248,39 @@ def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[st
             sizes = [(n := body.count(" ") + 1, piece_length(n, list(starts))) for body, starts in zip(pdf["body"], pdf["starts"])]
             yield pd.DataFrame(sorted(set(sizes)), columns=["n", "x"])
 
-    used: dict[int, int] = {}
-    for r in ev.select("body", "starts").mapInPandas(lengths, "n int, x int").distinct().collect():  # at most SEGMENT rows per number of words
-        used[r.n] = used.get(r.n, 0) | 1 << r.x
+    def used_by(side: DataFrame) -> dict[int, int]:
+        used: dict[int, int] = {}
+        for r in side.select("body", "starts").mapInPandas(lengths, "n int, x int").distinct().collect():  # at most SEGMENT rows per number of words
+            used[r.n] = used.get(r.n, 0) | 1 << r.x
+        return used
+
+    def keys(side: DataFrame, which: str, used: dict[int, int] | None) -> DataFrame:
+        """Segments (used is None) or the substrings that segments of the other side may equal. The side of the segments is
+        the one that is copied to the neighbouring bands of length."""
 
-    def grams(cutter: str):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            of = cache(lambda m: partner_lengths(used, m))
+            of = cache(lambda m: partner_lengths(used, m)) if used is not None else None
             for pdf in batches:
-                ids, keys = [], []
+                ids, sizes, counts, rows = [], [], [], []
                 for i, sig, body, starts in zip(pdf["text_id"], pdf["sig"], pdf["body"], pdf["starts"]):
-                    ws = body.split(" ")
-                    found = {h64(f"{sig}|{p}") for p in (pieces(ws, list(starts)) if cutter == "eval" else substrings(ws, of(len(ws))))}
-                    ids += [i] * len(found)
-                    keys += found
-                yield pd.DataFrame({"text_id": np.array(ids, np.int64), "k": np.array(keys, np.int64)})
-
-        return run
-
-    a = ev.mapInPandas(grams("eval"), "text_id long, k long").select(F.col("text_id").alias("e"), "k")
-    b = tr.mapInPandas(grams("train"), "text_id long, k long").select(F.col("text_id").alias("t"), "k")
-    pairs = a.join(b, "k").select("e", "t").distinct()
+                    ws, starts = body.split(" "), list(starts)
+                    band = size_band(len(ws))
+                    for b in (band - 1, band, band + 1) if used is None else (band,):
+                        found = [(h64(f"{sig}|{b}|{p}"), *at) for p, *at in (pieces(ws, starts) if used is None else substrings(ws, starts, of(len(ws))))]
+                        rows += found
+                        ids += [i] * len(found)
+                        sizes += [len(ws)] * len(found)
+                        counts += [len(starts)] * len(found)
+                k, p, s, r = np.array(rows, np.int64).reshape(-1, 4).T
+                yield pd.DataFrame({"text_id": np.array(ids, np.int64), "k": k, "n": np.array(sizes, np.int32), "p": p.astype(np.int32), "s": s.astype(np.int32), "r": r.astype(np.int32), "c": np.array(counts, np.int32)})
+
+        d = side.mapInPandas(run, "text_id long, k long, n int, p int, s int, r int, c int")
+        return d.select("k", F.col("text_id").alias(which), *[F.col(c).alias(f"{c}{1 if used is None else 2}") for c in ("n", "p", "s", "r", "c")])
+
+    fits = F.abs(F.col("n1") - F.col("n2")) <= F.greatest("n1", "n2") / F.lit(PER_EDIT)
+    ahead = keys(ev, "e", None).join(keys(tr, "t", used_by(ev)), "k").filter(fits & allowed())
+    back = keys(tr, "t", None).join(keys(ev, "e", used_by(tr)), "k").filter(fits & allowed())
+    pairs = ahead.select("e", "t").union(back.select("e", "t")).distinct()
     both = pairs.join(ev.select(F.col("text_id").alias("e"), F.col("body").alias("eb"), F.col("starts").alias("es")), "e").join(tr.select(F.col("text_id").alias("t"), F.col("body").alias("tb"), F.col("starts").alias("ts")), "t")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -258,8 +288,25 @@ def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[st
             ok = [same_question(x.split(" "), list(xs), y.split(" "), list(ys)) for x, xs, y, ys in zip(pdf["eb"], pdf["es"], pdf["tb"], pdf["ts"])]
             yield pdf.loc[ok, ["e", "t"]]
 
-    same = both.mapInPandas(verify, "e long, t long")
-    records = lambda f, p: f.groupBy("id", "text_id").agg(F.min(F.struct("split", "task", "source")).alias(p)).select(F.col("id").alias(f"{p}_id"), "text_id", *[F.col(p)[c].alias(f"{p}_{c}") for c in ("split", "task", "source")])
-    e = records(feats.filter("is_eval").select("id", "text_id", "split", "task", "source"), "eval").withColumnRenamed("text_id", "e")
-    t = records(feats.filter("not is_eval").select("id", "text_id", "split", "task", "source"), "train").withColumnRenamed("text_id", "t")
-    return same.join(e, "e").join(t, "t").drop("e", "t").distinct()
+    same = cut(both.mapInPandas(verify, "e long, t long").distinct(), "p5same")
+    members = feats.groupBy("is_eval", "id", "text_id").agg(F.min(F.struct("split", "task", "source")).alias("x"))
+    return same, members.select("text_id", "is_eval", "id", "x.*")
+
+
+def cross_split_overlaps(df: DataFrame, train: str = "rl_train", evals: tuple[str, ...] = ("rl_val", "main_test")) -> DataFrame:
+    """`train_id`, `eval_id`, and splits, tasks and sources of both: each evaluation record whose question (the last user
+    message) stands in training, exactly or nearly, with every such training record. This multiplies copies out;
+    overlap_classes does not, see there for the method and what counts as near."""
+    same, members = overlap_classes(df, train, evals)
+    side = lambda p, is_eval: members.filter(F.col("is_eval") == is_eval).select(F.col("text_id").alias(p[0]), *[F.col(c).alias(f"{p}_{c}") for c in ("id", "split", "task", "source")])
+    return same.join(side("eval", True), "e").join(side("train", False), "t").drop("e", "t").distinct()
+
+
+def overlap_report(df: DataFrame, label) -> DataFrame:
+    """Overlapping evaluation records and pairs per split, task and source of both sides, from the classes: nothing is
+    multiplied out. label: the source column to the name it is reported under."""
+    same, members = overlap_classes(df)
+    side = lambda p, is_eval: members.filter(F.col("is_eval") == is_eval).groupBy(F.col("text_id").alias(p[0]), *[F.col(c).alias(f"{p}_{c}") for c in ("split", "task")], label(F.col("source")).alias(f"{p}_source")).agg(F.count("*").alias(f"n_{p}"))
+    both = same.join(side("eval", True), "e").join(side("train", False).drop("train_split"), "t")
+    per = both.groupBy("e", "eval_split", "eval_task", "eval_source", "train_task", "train_source").agg(F.max("n_eval").alias("records"), F.sum(F.col("n_eval") * F.col("n_train")).alias("pairs"))
+    return per.groupBy("eval_split", "eval_task", "eval_source", "train_task", "train_source").agg(F.sum("records").alias("records"), F.sum("pairs").alias("pairs"))

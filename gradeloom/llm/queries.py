@@ -67,10 +67,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p5_report(spark: SparkSession, d: str) -> DataFrame:
     """Overlapping evaluation records and pairs per split, task and repository of both sides."""
-    found = crosssplit.cross_split_overlaps(table(spark, d, "splits"))
-    repo = lambda c: wordpiece.repository(F.col(c)).alias(c)
-    found = found.select("train_id", "eval_id", "eval_split", "eval_task", "train_task", repo("eval_source"), repo("train_source"))
-    return found.groupBy("eval_split", "eval_task", "eval_source", "train_task", "train_source").agg(F.countDistinct("eval_id").alias("records"), F.count("*").alias("pairs"))
+    return crosssplit.overlap_report(table(spark, d, "splits"), wordpiece.repository)
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

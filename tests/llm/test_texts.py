@@ -114,6 +114,33 @@ def test_cross_split(spark):
     assert C.cross_split_overlaps(df.limit(0)).count() == 0
 
 
+def test_cross_split_against_brute_force(spark):
+    """Every pair that the verification accepts is a candidate: short texts, sentences of all lengths in another order, lost
+    and new line ends, words replaced, dropped and inserted."""
+    rows = []
+    for i in range(140):
+        parts = [sentence(R.choice([2, 3, 4, 4, 5, 7, 9, 9, 12, 15])) for _ in range(R.choice([1, 1, 2, 3, 5, 6]))]
+        rows.append((f"t{i:03d}", "rl_train", ". ".join(parts)))
+        n = sum(len(p.split()) for p in parts)
+        other = [" ".join(edited(p.split(), R.randrange(0, 2 + n // 20)) if R.random() < 0.5 and len(p.split()) > 2 else p.split()) for p in parts]
+        if R.random() < 0.5:
+            R.shuffle(other)
+        text = R.choice([". ", ". ", " ", "\n"]).join(other)
+        if R.random() < 0.2:
+            ws = text.split(" ")
+            ws[len(ws) // 2] += "."
+            text = " ".join(ws)
+        rows.append((f"e{i:03d}", "main_test", text))
+    rows += [("t900", "rl_train", sentence(9)), ("t901", "rl_train", "a b c d e f g h i"), ("e901", "rl_val", "a b c d x e f g h i")]
+    canon = {i: C.canonical(q, {}) for i, _, q in rows}
+    ev, tr = [i for i, s, _ in rows if s != "rl_train"], [i for i, s, _ in rows if s == "rl_train"]
+    want = {(e, t) for e in ev for t in tr if C.same_question(*canon[e], *canon[t]) or C.same_question(*canon[t], *canon[e])}
+    df = spark.createDataFrame([(i, s, "a", "s", [("user", q)], "x") for i, s, q in rows], SP)
+    got = {(r.eval_id, r.train_id) for r in C.cross_split_overlaps(df).collect()}
+    both_ways = {(e, t) for e, t in want if not C.same_question(*canon[e], *canon[t])}
+    assert want - both_ways <= got <= want and len(want) > 60 and ("e901", "t901") in got
+
+
 @pytest.mark.parametrize("text,want", [
     ("Dear {{ name }}, welcome.", "placeholder"), ("The field is `{{name}}` in the template.", None), ("```\nx = '{{a}}'\n```\nText follows here.", None), ("Hello [First Name], thanks for [Topic].", "placeholder"),
     ("TODO: write this section", "placeholder"), ("The words TODO and TBD are not allowed.", None), ("Lorem ipsum dolor sit amet consectetur adipiscing elit sed do", "filler"), ("They print lorem ipsum on mugs.", None),
