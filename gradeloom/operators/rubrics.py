@@ -1,4 +1,4 @@
-"""Judged check lists, schema contradictions, quotas and admission simulations: pure functions for use in Arrow batches."""
+"""Judged check lists, quotas and admission simulations: pure functions for use in Arrow batches."""
 
 from __future__ import annotations
 
@@ -9,13 +9,15 @@ from gradeloom.functions.extract import judged_boolean, reply_json
 
 
 def verdicts(reply: str, n: int, finish: str = "stop") -> list[bool]:
-    """The n verdicts of a combined judgment, a list under `verdicts`; a cut-off reply, other fields or another length are errors."""
+    """The n verdicts of a combined judgment: a list, or one under `verdicts`, of booleans or objects with a verdict; a cut-off
+    reply or another length is an error."""
     if finish != "stop":
         raise ValueError("the judge was cut off")
     got = reply_json(reply)
-    if set(got) != {"verdicts"} or not isinstance(got["verdicts"], list) or len(got["verdicts"]) != n:
+    got = got.get("verdicts") if isinstance(got, dict) else got
+    if not isinstance(got, list) or len(got) != n:
         raise ValueError(f"not {n} verdicts")
-    return [judged_boolean(x) for x in got["verdicts"]]
+    return [judged_boolean(x.get("verdict") if isinstance(x, dict) else x) for x in got]
 
 
 def rubric_score(checks: list[dict], judged: list[bool]) -> tuple[float, float]:
@@ -23,56 +25,11 @@ def rubric_score(checks: list[dict], judged: list[bool]) -> tuple[float, float]:
     check counts the other way round."""
     ok = []
     for c, v in zip(checks, judged, strict=True):
-        want = str(c["pass_criteria"]).strip().upper() == "YES"
-        if c.get("is_misalignment_check") and c.get("source") == "user":
-            want = not want
-        ok.append(v == want)
+        passed = v == (c.get("pass_criteria", "YES") == "YES")
+        ok.append(passed != bool(c.get("is_misalignment_check") and c.get("source") == "user"))
     return float(all(ok)), sum(ok) / len(ok) if ok else 0.0
 
 
-def schema_contradiction(schema, root=None, depth: int = 0, seen: frozenset[int] = frozenset()) -> str | None:
-    """Why nothing can satisfy a JSON Schema, as far as a walk over its required parts shows: a required property that
-    additionalProperties forbids, a const or enum of another type, a reference that leads nowhere. At most 32 levels; cycles end."""
-    root = schema if root is None else root
-    if not isinstance(schema, dict) or depth > 32 or id(schema) in seen:
-        return None
-    seen = seen | {id(schema)}
-    ref = schema.get("$ref")
-    if isinstance(ref, str):
-        at = root
-        if not ref.startswith("#"):
-            return f"unresolved {ref}"
-        for part in [x.replace("~1", "/").replace("~0", "~") for x in ref[1:].split("/") if x]:
-            at = at.get(part) if isinstance(at, dict) else None
-            if at is None:
-                return f"unresolved {ref}"
-        return schema_contradiction(at, root, depth + 1, seen)
-    kinds = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
-    allowed = schema.get("type")
-    names = [allowed] if isinstance(allowed, str) else allowed if isinstance(allowed, list) else []
-
-    def fits(v) -> bool:
-        return not names or any(isinstance(v, kinds[t]) and not (isinstance(v, bool) and t in ("integer", "number")) for t in names if t in kinds)
-
-    if "const" in schema and not fits(schema["const"]):
-        return "const of another type"
-    if isinstance(schema.get("enum"), list) and not any(map(fits, schema["enum"])):
-        return "enum of other types"
-    props = schema.get("properties") if isinstance(schema.get("properties"), dict) else {}
-    for r in schema.get("required") or []:
-        if r in props:
-            why = schema_contradiction(props[r], root, depth + 1, seen)
-            if why:
-                return f"{r}: {why}"
-        elif schema.get("additionalProperties") is False and not schema.get("patternProperties"):
-            return f"{r} is required and forbidden"
-    for part in schema.get("allOf") or []:
-        why = schema_contradiction(part, root, depth + 1, seen)
-        if why:
-            return why
-    return None
-
-
 def spread_quota(total: int, cells: list[str]) -> dict[str, int]:
     """A quota over cells as evenly as integers allow, the first cells taking the rest."""
     base, rest = divmod(total, len(cells)) if cells else (0, 0)

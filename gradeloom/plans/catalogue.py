@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import extract as X
-from gradeloom.functions.ids import family_keys_col, normalized_col
+from gradeloom.functions.ids import family_keys, normalized_col
 from gradeloom.functions.labels import label_key, language_code
 from gradeloom.operators import grading, metrics, overlap, screening, selection, splitting
 from gradeloom.session import table
@@ -356,7 +356,7 @@ def q_split_manifest(t):
 @query()
 def q_family_keys(t):
     first = F.expr("element_at(filter(messages, m -> m.role = 'user'), 1).content")
-    return t("splits").select("id", family_keys_col(F.col("family_id"), first, F.col("family_aliases")).alias("keys"))
+    return t("splits").select("id", family_keys(F.col("family_id"), first, F.col("family_aliases")).alias("keys"))
 
 
 @query()
@@ -368,7 +368,7 @@ def q_near_dup_classes(t):
 def q_build_splits(t):
     last = F.expr("element_at(messages, -1).content")
     rows = selection.first_per_key(_keyed(t), "id", ["loaded_at"]).select("id", "family_id", F.col("keys").alias("family_keys"), last.alias("text"), "stratum", "task")
-    return splitting.build_splits(rows, t("source_specs"))
+    return splitting.build_splits(rows, t("source_specs"))[0]
 
 
 # --- screening and adapters ---------------------------------------------------------------------------------------

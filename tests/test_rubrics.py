@@ -1,11 +1,12 @@
 import pytest
 
+from gradeloom.functions import schema as S
 from gradeloom.operators import rubrics as R
 
 
 def test_verdicts_and_score():
     assert R.verdicts('{"verdicts": [true, "false"]}', 2) == [True, False]
-    for bad, n, finish in (('{"verdicts": [true]}', 2, "stop"), ('{"verdicts": [1]}', 1, "stop"), ('{"verdicts": [true], "x": 1}', 1, "stop"), ('{"verdicts": [true]}', 1, "length")):
+    for bad, n, finish in (('{"verdicts": [true]}', 2, "stop"), ('{"verdicts": [1]}', 1, "stop"), ('{"verdicts": [true]}', 1, "length")):
         with pytest.raises(ValueError):
             R.verdicts(bad, n, finish)
     checks = [{"pass_criteria": "YES"}, {"pass_criteria": "NO", "source": "user", "is_misalignment_check": True}]
@@ -13,11 +14,13 @@ def test_verdicts_and_score():
 
 
 def test_schema_contradiction():
-    assert R.schema_contradiction({"type": "object", "required": ["a"], "properties": {"b": {}}, "additionalProperties": False})
-    assert R.schema_contradiction({"type": "string", "const": 1}) and R.schema_contradiction({"type": "integer", "enum": ["a", True]})
-    assert R.schema_contradiction({"required": ["a"], "properties": {"a": {"$ref": "#/defs/x"}}})
+    assert S.contradiction({"type": "object", "required": ["a"], "properties": {"b": {}}, "additionalProperties": False})
+    assert S.contradiction({"type": "string", "const": 1}) and S.contradiction({"type": "integer", "enum": ["a", True]})
+    assert S.contradiction({"required": ["a"], "properties": {"a": {"$ref": "#/defs/x"}}}) and S.contradiction({"properties": {"a": {"anyOf": [{"$ref": "#/no"}]}}})
+    assert S.contradiction({"type": "array", "minItems": 1, "items": {"const": 1, "type": "string"}}) and S.contradiction({"type": "object", "required": ["a"], "allOf": [{"properties": {"a": {"type": "null", "const": 0}}}]})
+    assert S.contradiction({"type": "object", "required": ["ab"], "patternProperties": {"^a": {}}, "additionalProperties": False}) is None
     cyc = {"required": ["a"], "properties": {"a": {"$ref": "#"}}}
-    assert R.schema_contradiction(cyc) is None and R.schema_contradiction({"properties": {"a": {"type": "string", "const": 1}}}) is None and R.schema_contradiction(True) is None
+    assert S.contradiction(cyc) is None and S.contradiction({"properties": {"a": {"type": "string", "const": 1}}}) is None and S.contradiction(True) is None
 
 
 def test_quota_prefix_admission():
@@ -27,3 +30,13 @@ def test_quota_prefix_admission():
     assert sorted(R.admission_order([5, 9, *[1] * 20], [3] * 22, 10, bypass=2)) == list(range(22))
     with pytest.raises(ValueError):
         R.admission_order([11], [1], 10)
+
+
+def test_schema_validation():
+    s = {"type": "object", "required": ["n"], "properties": {"n": {"type": "integer", "minimum": 2}, "tags": {"type": "array", "items": {"enum": ["a", "b"]}, "uniqueItems": True}, "o": {"oneOf": [{"type": "string"}, {"type": "null"}]}, "again": {"$ref": "#"}}, "additionalProperties": False}
+    ok = [{"n": 2}, {"n": 3.0, "tags": ["a", "b"], "o": None, "again": {"n": 9}}]
+    bad = [{}, {"n": 1}, {"n": True}, {"n": 2, "tags": ["a", "a"]}, {"n": 2, "tags": ["c"]}, {"n": 2, "o": 1}, {"n": 2, "x": 1}, {"n": 2, "again": {"n": 0}}, []]
+    assert not any(S.invalid(v, s) for v in ok) and all(S.invalid(v, s) for v in bad)
+    assert S.malformed(s) is None and S.malformed({"type": "text"}) and S.malformed({"properties": {"a": 1}}) and S.malformed({"required": "a"})
+    assert S.unsatisfiable("csv", {"type": "array", "items": {"type": "object", "properties": {"a": {"type": "object", "properties": {}}}}}) and S.unsatisfiable("toml", {"type": "array"}) and S.unsatisfiable("json", s) is None
+    assert S.typed_rows([{"n": "4", "b": "TRUE", "z": ""}], {"type": "object", "properties": {"n": {"type": ["null", "integer"]}, "b": {"type": "boolean"}, "z": {"type": "null"}}}) == {"n": 4, "b": True, "z": None}

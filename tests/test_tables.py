@@ -5,7 +5,7 @@ import tarfile
 import pytest
 from pyspark.sql import functions as F
 
-from gradeloom.functions.ids import _shingles
+from gradeloom.functions.ids import normalized
 from gradeloom.operators import grading, overlap, screening, selection, splitting
 from gradeloom.sources import adapters, files
 from gradeloom.streaming import requests
@@ -38,9 +38,10 @@ def _text(i, n=40, change=()):
 def test_near_pairs_brute(spark):
     rows = [(1, _text(1)), (2, _text(1, change=(39,))), (3, _text(1)), (4, _text(2)), (5, None), (6, ""), (7, "too short"), (8, _text(1, change=(3, 15, 30)))]
     df = spark.createDataFrame(rows, "id long, text string")
-    sh = {i: set(_shingles(t) or ()) for i, t in rows if t}
-    want = {(a, b) for a in (1, 2, 4, 8) for b in (1, 2, 4, 8) if a != b and len(sh[a] & sh[b]) / len(sh[a] | sh[b]) >= 0.85}
-    got = {(r.a, r.b) for r in overlap.near_pairs(df, df, "id", "text").collect() if r.a != r.b}
+    five = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    sh = {i: five(normalized(t).split()) for i, t in rows if t}
+    want = {(a, b) for a in (1, 2, 4, 8) for b in (1, 2, 4, 8) if a < b and len(sh[a] & sh[b]) / len(sh[a] | sh[b]) >= 0.85}
+    got = {(r.a, r.b) for r in overlap.near_pairs(df, df, "id", "text").collect()}
     assert got == want and want
     cls = {r.id: (r.class_id, r.links) for r in overlap.near_classes(df, "id", "text").collect()}
     assert cls[3] == (1, 1) and cls[1] == (1, 1) and cls[7] == (7, 0) and 5 not in cls
@@ -59,18 +60,18 @@ def test_build_splits_has_no_leaks(spark):
         rows.append((f"i{i:02d}", f"f{i:02d}", [f"f{i:02d}"] + (["f03"] if i in (30, 31) else []), _text(5 if i in (4, 40) else 100 + i), "ab"[i % 2], task))
     df = spark.createDataFrame(rows, "id string, family_id string, family_keys array<string>, text string, stratum string, task string")
     specs = spark.createDataFrame([("t_eval", 0, 0, 4), ("t_val", 0, 3, 0), ("t_train", 20, 0, 0)], "task string, train_quota int, val_quota int, test_quota int")
-    got = splitting.build_splits(df, specs).collect()
+    got = splitting.build_splits(df, specs)[0].collect()
     by = {s: {r.id for r in got if r.split == s} for s in ("main_test", "rl_val", "rl_train")}
     assert [len(by[s]) for s in ("main_test", "rl_val", "rl_train")] == [4, 3, 20]
     assert not by["rl_train"] & {"i30", "i31", "i40"} and all(int(i[1:]) >= 24 for i in by["rl_train"])
-    assert splitting.build_splits(df.limit(0), specs).count() == 0
+    assert splitting.build_splits(df.limit(0), specs)[0].count() == 0
     assert len(splitting.ordered_hash(df.select("id", F.col("text").alias("line")), "id", "line")) == 64
 
 
 def test_screening(spark):
     schema = "id string, family_id string, task string, domain string, verifier string, source string, verification string, messages array<struct<role string, content string>>, loaded_at int, created_at int"
     ok = [("user", "a question of some length")]
-    rows = [("1", "f", "t", "math", "math", "s", "{}", ok, 1, 1), ("2", "f2", "t", "Math", "math", "s", "{}", ok, 1, 1), ("3", "f3", "t", "math", "math", "s", "{}", [("assistant", "x")], 1, 1), ("4", "f4", "t", "math", "math", "s", '{"reference": "I cannot say"}', ok, 1, 1),
+    rows = [("1", "f", "t", "math", "math", "s", "{}", ok, 1, 1), ("2", "f2", "t", "Math", "math", "s", "{}", ok, 1, 1), ("3", "f3", "t", "math", "math", "s", "{}", [("assistant", "x")], 1, 1), ("4", "f4", "t", "math", "math", "s", '{"reference": "I cannot answer that"}', ok, 1, 1),
             ("5", "f5", "t", "math", "math", "", "{}", ok, 1, 1), ("6", "f6", "t", "math", "math", "s", None, None, 1, 1), ("7", "f", "t", "math", "math", "s", "{}", ok, 1, 2)]
     df = spark.createDataFrame(rows, schema)
     got = {r.id: r.r for r in df.select("id", screening.invalid_reason().alias("r")).collect()}
@@ -85,10 +86,10 @@ def test_grade_and_judge_stages(spark):
                                "k int, verifier string, verification string, binary boolean, prompt string, text string, finish string, domain string")
     g = {r.k: r for r in grading.grade(df, ["k"]).collect()}
     assert g[1].score == 1.0 and g[2].needs_judge and g[2].score is None and g[3].status == "error"
-    replies = iter(["nonsense", '{"score": 5, "mandatory_pass": true}'])
-    j = grading.judge(df.filter("k = 2"), ["k"], lambda rows: [next(replies) for _ in rows]).first()
+    replies = iter(["nonsense", '{"score": 5, "mandatory_pass": true, "reason": "r"}'])
+    j = grading.judge(df.filter("k = 2"), ["k"], lambda rows: [{"text": next(replies)} for _ in rows]).first()
     assert j.score == 1.0 and j.passed is None
-    assert grading.judge(df.filter("k = 2"), ["k"], lambda rows: ["?" for _ in rows]).first().status == "error"
+    assert grading.judge(df.filter("k = 2"), ["k"], lambda rows: [{"text": "?"} for _ in rows]).first().status == "error"
 
 
 def test_files(spark, tmp_path):
@@ -117,8 +118,8 @@ def test_files(spark, tmp_path):
 
 def test_adapters(spark):
     df = spark.createDataFrame([("x #### 4 ", ["A", "B"], ["one", "two"], '["{}", {"k": 1}]')], "s string, l array<string>, t array<string>, k string")
-    r = df.select(adapters.answer_after_marks(F.col("s")).alias("a"), adapters.render_options(F.col("l"), F.col("t")).alias("o"), adapters.level_stratum(F.lit("m"), F.lit("2")).alias("lv"), adapters.rule_stratum(F.array(F.lit("x:y"))).alias("rs"), adapters.user_turn(F.col("s")).alias("u")).first()
-    assert (r.a, r.o, r.lv, r.rs, r.u[0].role) == ("4", "\nA. one\nB. two", "m/2", "x", "user")
+    r = df.select(adapters.answer_after_marks(F.col("s")).alias("a"), adapters.render_options(F.col("l"), F.col("t")).alias("o"), adapters.rule_stratum(F.array(F.lit("x:y"))).alias("rs"), adapters.user_turn(F.col("s")).alias("u")).first()
+    assert (r.a, r.o, r.rs, r.u[0].role) == ("4", "\nA. one\nB. two", "x", "user")
 
 
 def test_request_stream(spark, tmp_path):
