@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.words import plain_words, undress, words
@@ -17,15 +17,17 @@ from gradeloom.session import cut, small
 #: Words that a stretch must have (or the whole question, if it is shorter), and words per allowed edit.
 STRETCH, PER_EDIT = 20, 10
 #: Words of a term, i.e. of an entry of the index.
-TERM = 3
-#: Edits that a STRETCH-word window of any qualifying stretch has at most (3 per 30 to 39 words), and terms that must agree.
-WORST, AGREE = 3, 3
+TERM = 5
+#: Terms that are intact in some STRETCH-word window of any qualifying stretch, edits in it at most, and terms that must agree.
+#: Two edits spoil 10 of the 16 terms of a window. Only stretches of 30 to 39 words can have three edits in every window; these
+#: then lie within 10 words, so the first window starts with 10 words without any, and 6 terms.
+INTACT, WORST, AGREE = 6, 3, 2
 #: Bits of the table by which documents leave out terms that no item has. Its size is fixed; more items only make it denser.
 BITS = 1 << 24
 #: A closing sentence is a standing instruction when it ends one item in so many, and at least FEWEST items.
 ONE_IN, FEWEST = 200, 3
-#: Width of the bands of offsets in which terms are counted; twice the drift that edits cause, and two layers of bands.
-BAND = 8
+#: Offsets are counted in cells of this width, two neighbouring ones together: edits shift them by less than that.
+CELL = 4
 #: Candidates of one document that are verified in one row.
 TOGETHER = 500
 _SENTENCE = re.compile(r"(?<=[.?!。？！])\s+|\n+")
@@ -127,16 +129,17 @@ def postings(documents: DataFrame, asked_terms: DataFrame) -> DataFrame:
 
 
 def rarest(frequency: np.ndarray, m: int) -> np.ndarray:
-    """Which terms of a question of m words are looked up, by their frequencies in the corpus. A qualifying stretch has a
-    window of STRETCH words with at most WORST edits, which spoil three terms each at most; so of any 3 WORST + AGREE terms
-    of the window, AGREE are intact, and the rarest so many of every window are enough. A shorter question is one window."""
+    """Which terms of a question of m words are looked up, by their frequencies in the corpus. Of the terms of a window of any
+    qualifying stretch INTACT are intact, so AGREE of any that leave out INTACT - AGREE of the window: the rarest so many of every
+    window are enough. A shorter question is one window, of which each edit spoils TERM terms at most."""
     f = frequency + np.arange(len(frequency)) * 1e-9
     keep = np.zeros(len(f), bool)
     if m < STRETCH:
-        n = min(len(f), 3 * (m // PER_EDIT) + AGREE)
+        n = min(len(f), TERM * (m // PER_EDIT) + AGREE)
         keep[np.argpartition(f, n - 1)[:n]] = True
         return keep
-    n, width = min(3 * WORST + AGREE, STRETCH - TERM + 1), STRETCH - TERM + 1
+    width = STRETCH - TERM + 1
+    n = width - INTACT + AGREE
     limit = np.partition(np.lib.stride_tricks.sliding_window_view(f, width), n - 1, axis=1)[:, n - 1]
     ceiling = np.full(len(f), -1.0)  # a term is kept if it is among the n rarest of some window that holds it
     for k in range(width):
@@ -160,14 +163,22 @@ def looked_up(asked_terms: DataFrame, index: DataFrame) -> DataFrame:
     return cut(per.mapInPandas(run, "q long, m int, off int, term long"), "p8terms")
 
 
+def needed(m: Column) -> Column:
+    """How many of the looked-up terms of a question of m words are intact wherever it stands."""
+    few = F.greatest(m - TERM + 1, F.lit(1)) - F.floor(m / F.lit(PER_EDIT)) * TERM
+    return F.when(m >= STRETCH, F.lit(AGREE)).otherwise(F.least(F.lit(AGREE), few))
+
+
 def agreeing(index: DataFrame, wanted: DataFrame) -> DataFrame:
-    """doc_id, q, low: bands of offsets (low to low + BAND) in which enough of the looked-up terms of a question stand in a
-    document: AGREE, or all if a question has fewer. Lists are intersected by their offsets: pos - off differs by WORST at most
-    within a window, so one of two layers of bands holds all of it."""
-    hits = index.join(small(wanted), "term").select("doc_id", "q", "m", "off", (F.col("pos") - F.col("off")).alias("d"))
-    low = F.explode(F.array(*[(F.floor((F.col("d") + F.lit(s)) / F.lit(BAND)) * BAND - s).cast("int") for s in (0, BAND // 2)]))
-    need = F.least(F.lit(AGREE), F.greatest(F.col("m") - TERM + 1, F.lit(1)))
-    return hits.select("doc_id", "q", "m", "off", low.alias("low")).groupBy("doc_id", "q", "m", "low").agg(F.size(F.collect_set("off")).alias("n")).filter(F.col("n") >= need).select("doc_id", "q", "low")
+    """doc_id, q, lows: where (offsets from low to low + 2 CELL) enough of the looked-up terms of a question stand in a document.
+    Lists are intersected by their offsets: pos - off differs by WORST at most within a window, so two neighbouring cells hold it
+    all. A group holds what one document has of one question."""
+    hits = index.join(small(wanted), "term").select("doc_id", "q", "m", F.struct(F.floor((F.col("pos") - F.col("off")) / F.lit(CELL)).cast("int").alias("c"), "off").alias("h"))
+    per = hits.groupBy("doc_id", "q", "m").agg(F.collect_list("h").alias("h")).filter(F.size("h") >= needed(F.col("m")))
+    cells = F.array_distinct(F.transform("h", lambda x: x.c))
+    offs = lambda c: F.array_distinct(F.transform(F.filter("h", lambda x: (x.c == c) | (x.c == c + 1)), lambda x: x.off))
+    enough = per.withColumn("cells", F.array_union(cells, F.transform(cells, lambda c: c - 1))).withColumn("need", needed(F.col("m")))
+    return enough.select("doc_id", "q", F.transform(F.filter("cells", lambda c: F.size(offs(c)) >= F.col("need")), lambda c: c * CELL).alias("lows")).filter("size(lows) > 0")
 
 
 def _reach(a: np.ndarray, b: np.ndarray, edits: int) -> list[int]:
@@ -209,18 +220,18 @@ def _stretch(q: np.ndarray, t: np.ndarray, i: int, j: int, n: int) -> bool:
 
 
 def holds(q: np.ndarray, t: np.ndarray, low: int) -> bool:
-    """Whether the words t hold a qualifying stretch of the question q around an offset in the band from low on. Windows in
+    """Whether the words t hold a qualifying stretch of the question q around an offset in the cells from low on. Windows in
     which too few terms are intact at these offsets are out; in the others each run of equal words is tried, and its ends
     are found by edit distance."""
     m, n = len(q), min(TERM, len(q))
-    at = np.arange(m) + np.arange(low, low + BAND)[:, None]
+    at = np.arange(m) + np.arange(low, low + 2 * CELL)[:, None]
     same = (t[np.clip(at, 0, len(t) - 1)] == q) & (at >= 0) & (at < len(t))
     term = same[:, : m - n + 1].copy()
     for k in range(1, n):
         term &= same[:, k : m - n + 1 + k]
     intact = np.concatenate([[0], np.cumsum(term.any(axis=0))])
     width = min(m, STRETCH) - n + 1
-    fine = np.flatnonzero(intact[width:] - intact[:-width] >= max(1, width - n * (WORST if m >= STRETCH else m // PER_EDIT)))
+    fine = np.flatnonzero(intact[width:] - intact[:-width] >= (INTACT if m >= STRETCH else max(1, width - n * (m // PER_EDIT))))
     if not len(fine):
         return False
     slack = m // PER_EDIT + 1
@@ -239,7 +250,7 @@ def leaked_items(documents: DataFrame, pool: DataFrame) -> DataFrame:
     invisible characters, line breaks and hyphenation do not count. Standing answer instructions (closing sentences of one
     item in ONE_IN) are no part of a question.
 
-    Method: distributed positional inverted index. Postings of three-word terms of the corpus are stored as a table; counts
+    Method: distributed positional inverted index. Postings of five-word terms of the corpus are stored as a table; counts
     over the whole corpus tell the rarest terms of each question; their lists are joined by term and intersected by offset;
     documents with enough terms at one place are read again and verified by edit distance in words. The terms looked up
     leave out no qualifying stretch (see `rarest`). No item, posting or document is collected; broadcast are a bit table of
@@ -250,7 +261,7 @@ def leaked_items(documents: DataFrame, pool: DataFrame) -> DataFrame:
     items, asked = questions(pool)
     every = cut(question_terms(asked), "p8all")
     index = postings(documents, every)
-    bands = agreeing(index, looked_up(every, index)).groupBy("doc_id", "q").agg(F.collect_set("low").alias("lows"))
+    bands = agreeing(index, looked_up(every, index))
     part = F.floor(F.row_number().over(Window.partitionBy("doc_id").orderBy("q")) / F.lit(TOGETHER))
     found = bands.join(small(asked), "q").withColumn("part", part).groupBy("doc_id", "part").agg(F.collect_list(F.struct("q", "body", "lows")).alias("c"))
     found = cut(found, "p8found")
