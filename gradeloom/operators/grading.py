@@ -265,11 +265,11 @@ def _frame(pdf: pd.DataFrame, keys: list[str], got: list[tuple]) -> pd.DataFrame
 def grade(responses: DataFrame, keys: list[str], instructions: Callable | None = None, run_code: Callable | None = None) -> DataFrame:
     """Stage one, without judge: keys and the grade of each response (columns verifier, verification, binary, prompt,
     text, finish, domain, and task if there is one). Rows stay where they are; other columns are not read."""
-    have = [c if c in responses.columns else F.lit(None).cast("string").alias(c) for c in _INPUT]
+    have = [(F.col(c) if c in responses.columns else F.lit(None).cast("string")).alias(f"_in_{c}") for c in _INPUT]  # keys may have the same names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            cols = [[None if x is None or x is pd.NA or x != x else x for x in pdf[c]] for c in _INPUT]
+            cols = [[None if x is None or x is pd.NA or x != x else x for x in pdf[f"_in_{c}"]] for c in _INPUT]
             yield _frame(pdf, keys, [rule_grade(*row, instructions=instructions, run_code=run_code) for row in zip(*cols)])
 
     return responses.select(*keys, *have).mapInPandas(run, _keyed(responses, keys))

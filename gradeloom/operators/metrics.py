@@ -54,28 +54,6 @@ def task_rollup(prompts: DataFrame, n: int, ks: tuple[int, ...] = (1, 2)) -> Dat
     )
 
 
-def domain_rollup(tasks: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
-    """Per domain: weighted mean over the scored tasks, weights (1 unless given) renormalised over them."""
-    w = F.lit(1.0)
-    for t, x in (weights or {}).items():
-        w = F.when(F.col("task") == t, F.lit(x)).otherwise(w)
-    scored = F.when(F.col("score").isNotNull(), w)
-    return tasks.groupBy("domain").agg(
-        F.count("*").alias("tasks"), F.count("score").alias("scored"), F.sum("prompts").alias("prompts"), F.sum("incomplete").alias("incomplete"),
-        (F.sum(scored * F.col("score")) / F.nullif(F.sum(scored), F.lit(0.0))).alias("score"), F.every(F.col("incomplete") == 0).alias("complete"),
-    )
-
-
-def aggregate(domains: DataFrame, planned: list[str]) -> DataFrame:
-    """One row: 100 x the unweighted mean of the scored domains, whether all planned ones are complete, and which are missing."""
-    plan = domains.sparkSession.createDataFrame([(p,) for p in planned], "domain string")
-    both = plan.join(domains, "domain", "left")
-    return both.agg(
-        (100 * F.avg("score")).alias("score"), F.count("score").alias("scored"), F.every(F.coalesce("complete", F.lit(False))).alias("complete"),
-        F.array_join(F.sort_array(F.collect_list(F.when(F.col("score").isNull(), F.col("domain")))), ",").alias("missing"),
-    )
-
-
 def distribution(df: DataFrame, value: str, keys: list[str] = []) -> DataFrame:  # noqa: B006
     """Count, missing, total, extremes, mean, population deviation and linear percentiles. Null, NaN, infinite and negative values are missing, never 0."""
     x = F.col(value).cast("double")
@@ -115,16 +93,27 @@ def pending_work(ids: DataFrame, rec: DataFrame, n: int) -> DataFrame:
 
 def summarize(rec: DataFrame) -> DataFrame:
     """Counters overall, per domain and per task in one pass: grouping sets ((), (domain), (task))."""
-    rec.createOrReplaceTempView("_gradeloom_records")
-    return rec.sparkSession.sql("""SELECT domain, task, count(*) AS saved, count_if(valid) AS valid, count_if(status = 'error') AS errors, count_if(status IS NULL) AS pending,
-        count_if(valid AND passed) AS passed, count_if(valid AND NOT passed) AS failed, count_if(valid AND passed IS NULL) AS continuous, count_if(capped) AS truncated,
-        sum(n_turns) AS turns, count(completion_tokens) AS with_tokens, sum(completion_tokens) AS tokens
-        FROM _gradeloom_records GROUP BY GROUPING SETS ((), (domain), (task))""")
+    c = F.col
+    return rec.groupingSets([[], ["domain"], ["task"]], "domain", "task").agg(
+        F.count("*").alias("saved"), F.count_if("valid").alias("valid"), F.count_if(c("status") == "error").alias("errors"), F.count_if(c("status").isNull()).alias("pending"),
+        F.count_if(c("valid") & c("passed")).alias("passed"), F.count_if(c("valid") & ~c("passed")).alias("failed"), F.count_if(c("valid") & c("passed").isNull()).alias("continuous"), F.count_if("capped").alias("truncated"),
+        F.sum("n_turns").alias("turns"), F.count("completion_tokens").alias("with_tokens"), F.sum("completion_tokens").alias("tokens"),
+    )
 
 
-def failure_reason() -> Column:
-    """First reason that holds, for a valid record that has not passed and scores 0."""
-    return F.when(~F.col("valid") | F.coalesce(F.col("passed"), F.lit(False)) | (F.col("score") > 0), None).when(F.col("capped"), "truncated").when(F.col("n_turns") == 0, "metrics only").when(F.col("passed").isNull(), "quality").otherwise("wrong answer")
+def failure_reason(components: Column | None = None) -> Column:
+    """First reason that holds, for a valid record that has not passed and scores 0, from what its grade's components (JSON text)
+    tell; without components, cut-off turns, records without turns and missing verdicts are all that can be told."""
+    earned = ~F.col("valid") | F.coalesce(F.col("passed"), F.lit(False)) | (F.col("score") > 0)
+    start = F.when(earned, None).when(F.col("capped"), "truncated")
+    if components is None:
+        return start.when(F.col("n_turns") == 0, "metrics only").when(F.col("passed").isNull(), "quality").otherwise("wrong answer")
+    at = lambda n: F.get_json_object(components, f"$.{n}")
+    ran = F.when(at("syntax_error").isNotNull() & (at("syntax_error") != "false"), "syntax error").when(at("defines_entry_point") == "false", "requested function not defined").otherwise(at("execution_status"))
+    return (
+        start.when(F.coalesce(at("failure"), F.lit("")) != "", F.replace(at("failure"), F.lit("_"), F.lit(" "))).when(F.coalesce(at("execution_status"), F.lit("")) != "", F.concat(F.lit("code: "), ran)).when(at("syntax") == "false", "unparseable structure")
+        .when(at("schema") == "false", "schema mismatch").when(at("requested_format") == "false", "answer in other format").when(at("acceptability").isNotNull(), F.when(at("mandatory_pass") == "false", "mandatory check failed").otherwise("lowest quality score")).otherwise("wrong answer")
+    )
 
 
 def group_validation(rec: DataFrame, n: int) -> DataFrame:
@@ -147,14 +136,52 @@ def wilson_upper(k: Column, n: Column, z: float = 1.96) -> Column:
     return (p + z * z / (2 * m) + z * F.sqrt(p * (1 - p) / m + z * z / (4 * m * m))) / (1 + z * z / m)
 
 
-def nearest_lower(value: str, q: float) -> Column:
-    """The element at floor(q (n-1)) of the sorted values, within each group (a stat interval; for whole tables use distribution)."""
-    s = F.sort_array(F.collect_list(value))
-    return F.get(s, F.floor(q * (F.size(s) - 1)).cast("int"))
+def nearest_lower(df: DataFrame, keys: list[str], value: str, qs: list[float], names: list[str]) -> DataFrame:
+    """Per group the elements at floor(q (n-1)) of the sorted values (nulls left out): distinct values are counted first, so that
+    what is ranked per group is distinct values only."""
+    v = df.filter(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*keys).orderBy("_v")
+    v = v.withColumn("_to", F.sum("_c").over(w)).withColumn("_n", F.sum("_c").over(Window.partitionBy(*keys)))
+    at = lambda q: F.floor(F.lit(q) * (F.col("_n") - 1))
+    return v.groupBy(*keys).agg(*[F.min(F.when(F.col("_to") > at(q), F.col("_v"))).alias(n) for q, n in zip(qs, names)])
+
+
+def joined_text() -> Column:
+    """The texts of all turns of a record, one below the other."""
+    return F.array_join(F.filter(F.transform("turns", lambda t: t.response.text), lambda x: x.isNotNull()), "\n")
+
+
+def repeated_grams(df: DataFrame, text: str, out: str, size: int = 4) -> DataFrame:
+    """df with 1 - distinct / all runs of `size` words; 0 for fewer words."""
+    words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
+    d = df.withColumn("_w", words)  # a column of its own: the lambda below must not compute it again
+    n = F.size("_w") - size + 1
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice("_w", i, F.lit(size)), " "))
+    return d.withColumn(out, F.when(n < 1, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(grams)) / n)).drop("_w")
+
+
+def _watched(rec: DataFrame, samples: DataFrame) -> DataFrame:
+    """Records with the repetition of their joined text and their tokens, missing ones counting 0 here."""
+    tokens = F.expr("coalesce(aggregate(transform(turns, t -> coalesce(cast(t.response.usage.completion_tokens as bigint), 0)), 0L, (a, x) -> a + x), 0)")
+    extra = repeated_grams(samples.select("id", "sample", joined_text().alias("_text"), tokens.alias("tokens")), "_text", "repetition").drop("_text")
+    return rec.join(extra, ["id", "sample"])
+
+
+def audit_queue(rec: DataFrame, samples: DataFrame, least: float = 0.75, n: int = 100) -> DataFrame:
+    """The n well-scored records that repeat themselves most, then the longest; ties by id and sample. `place` from 1."""
+    order = [F.desc("repetition"), F.desc("tokens"), F.col("id"), F.col("sample")]
+    top = _watched(rec.filter(F.col("valid") & (F.col("score") >= least)), samples).orderBy(*order).limit(n)
+    return top.withColumn("place", F.row_number().over(Window.orderBy(*order)))
+
+
+def reliability(rec: DataFrame, samples: DataFrame) -> DataFrame:
+    """Per domain: samples, errors, cut-off ones, and how scores go with tokens and with repetition."""
+    d = _watched(rec, samples).withColumn("_s", F.when(F.col("valid"), F.col("score")))
+    return d.groupBy("domain").agg(F.count("*").alias("samples"), F.count_if(~F.col("valid")).alias("errors"), F.count_if("capped").alias("cap_hits"), guarded_corr("_s", "tokens").alias("score_length"), guarded_corr("_s", "repetition").alias("score_repetition"))
 
 
-def leaderboard(rec: DataFrame, by: str = "run") -> DataFrame:
+def leaderboard(rec: DataFrame, domains: list[str], by: str = "run") -> DataFrame:
     """A row per run with the mean score of each domain as a column, best first, runs without a score last."""
-    wide = rec.filter("valid").groupBy(by).pivot("domain", ["math", "knowledge", "quality", "logic"]).agg(F.round(F.avg("score"), 9))
+    wide = rec.filter("valid").groupBy(by).pivot("domain", domains).agg(F.round(F.avg("score"), 9))
     every = rec.groupBy(by).agg(F.round(F.avg(F.when(F.col("valid"), F.col("score"))), 9).alias("overall"), F.count("*").alias("saved"))
     return every.join(wide, by, "left").withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("overall"), by)))

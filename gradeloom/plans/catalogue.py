@@ -5,43 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions import extract as X
 from gradeloom.functions.ids import family_keys, normalized_col
 from gradeloom.functions.labels import label_key, language_code
 from gradeloom.operators import grading, metrics, overlap, screening, selection, splitting
-from gradeloom.session import table
+from gradeloom.plans.registry import query
 from gradeloom.sources import adapters
 from gradeloom.streaming import requests
 
 #: Samples per prompt that the rollups expect.
 N = 2
-_ALL: dict[str, tuple] = {}
-
-
-def query(sql: str | None = None, places: int = 6):
-    """Register a query under its function's name, with the SQL for it. Floating results are rounded, as their sums depend on the order of addition."""
-
-    def keep(f):
-        def run(spark: SparkSession, d: str) -> DataFrame:
-            df = f(lambda name: table(spark, d, name))
-            return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-
-        _ALL[f.__name__] = (run, sql)
-        return f
-
-    return keep
-
-
-def queries():
-    return {k: v[0] for k, v in _ALL.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: v[1] for k, v in _ALL.items() if v[1]}
-
 
 # --- records, rollups, audits -------------------------------------------------------------------------------------
 
@@ -57,8 +33,6 @@ PROMPT = f"""{REC}, p0 AS (SELECT id, min(task) AS task, min(domain) AS domain,
 prompts AS (SELECT id, task, domain, valid, capped, CASE WHEN valid = {N} THEN m END AS score, CASE WHEN valid = {N} AND v = {N} THEN ok END AS passes FROM p0)"""
 TASK = f"""{PROMPT}, tasks AS (SELECT domain, task, count(*) AS prompts, count(score) AS complete, count(*) - count(score) AS incomplete, sum(capped)::BIGINT AS capped, avg(score) AS score,
  stddev_samp(score) / sqrt(nullif(count(score), 0)::DOUBLE) AS stderr, avg(passes / 2.0::DOUBLE) AS pass_at_1, avg(CASE WHEN passes IS NULL THEN NULL WHEN passes >= 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS pass_at_2 FROM prompts GROUP BY domain, task)"""
-DOMAIN = f"""{TASK}, domains AS (SELECT domain, count(*) AS tasks, count(score) AS scored, sum(prompts)::BIGINT AS prompts, sum(incomplete)::BIGINT AS incomplete,
- avg(score) AS score, bool_and(incomplete = 0) AS complete FROM tasks GROUP BY domain)"""
 
 
 def _rec(t) -> DataFrame:
@@ -88,20 +62,6 @@ def q_task_rollup(t):
     return _tasks(t)
 
 
-@query(f"WITH {DOMAIN} SELECT * REPLACE (round(score, 6) AS score) FROM domains")
-def q_domain_rollup(t):
-    return metrics.domain_rollup(_tasks(t))
-
-
-_PLAN = ", ".join(f"('{d}')" for d in screening.DOMAINS)
-
-
-@query(f"""WITH {DOMAIN}, plan(domain) AS (VALUES {_PLAN}) SELECT round(100 * avg(score), 6) AS score, count(score) AS scored, bool_and(coalesce(complete, false)) AS complete,
- coalesce(string_agg(CASE WHEN score IS NULL THEN domain END, ',' ORDER BY domain), '') AS missing FROM plan LEFT JOIN domains USING (domain)""")
-def q_aggregate(t):
-    return metrics.aggregate(metrics.domain_rollup(_tasks(t)), screening.DOMAINS)
-
-
 @query(f"""WITH {REC}, g AS (SELECT id, count(*) AS n, count(*) FILTER (passed AND NOT capped) AS c FROM rec WHERE valid AND passed IS NOT NULL GROUP BY id)
 SELECT id, n, c, round(c / n::DOUBLE, 6) AS pass_at_1, CASE WHEN n >= 2 THEN CASE WHEN n - c < 2 THEN 1.0::DOUBLE ELSE round(1 - ((n - c) / n::DOUBLE) * ((n - c - 1) / (n - 1)::DOUBLE), 6) END END AS pass_at_2 FROM g""")
 def q_pass_at_k(t):
@@ -197,14 +157,9 @@ def q_confusion(t):
 
 
 @query("""WITH x AS (SELECT event_type, date_trunc('day', ts) AS d, list_sort(list(value) FILTER (value IS NOT NULL)) AS v FROM events GROUP BY ALL)
-SELECT event_type, d AS day, round(v[floor(0.5 * (len(v) - 1))::INT + 1], 6) AS p50, round(v[floor(0.95 * (len(v) - 1))::INT + 1], 6) AS p95 FROM x""")
+SELECT event_type, d AS day, round(v[floor(0.5 * (len(v) - 1))::INT + 1], 6) AS p50, round(v[floor(0.95 * (len(v) - 1))::INT + 1], 6) AS p95 FROM x WHERE len(v) > 0""")
 def q_nearest_lower_percentile(t):
-    return t("events").groupBy("event_type", F.date_trunc("day", "ts").alias("day")).agg(metrics.nearest_lower("value", 0.5).alias("p50"), metrics.nearest_lower("value", 0.95).alias("p95"))
-
-
-@query(f"WITH {REC} SELECT id, sample, score, completion_tokens FROM rec WHERE valid AND score >= 0.75 ORDER BY completion_tokens DESC NULLS LAST, id, sample LIMIT 100")
-def q_audit_queue_topk(t):
-    return _rec(t).filter("valid and score >= 0.75").orderBy(F.desc_nulls_last("completion_tokens"), "id", "sample").limit(100).select("id", "sample", "score", "completion_tokens")
+    return metrics.nearest_lower(t("events").withColumn("day", F.date_trunc("day", "ts")), ["event_type", "day"], "value", [0.5, 0.95], ["p50", "p95"])
 
 
 @query(f"""WITH {REC} SELECT id, count(*) AS records, count(*) = {N} AND min(sample) = 0 AND max(sample) = {N} - 1
@@ -213,42 +168,23 @@ def q_group_validation(t):
     return metrics.group_validation(_rec(t), N)
 
 
-@query(f"""WITH {REC}, x AS (SELECT run, round(avg(score) FILTER (valid), 9) AS overall, count(*) AS saved, {", ".join(f"round(avg(score) FILTER (valid AND domain = '{d}'), 9) AS {d}" for d in ("math", "knowledge", "quality", "logic"))} FROM rec GROUP BY run)
+@query(f"""WITH {REC}, x AS (SELECT run, round(avg(score) FILTER (valid), 9) AS overall, count(*) AS saved, {", ".join(f"round(avg(score) FILTER (valid AND domain = '{d}'), 9) AS {d}" for d in screening.DOMAINS)} FROM rec GROUP BY run)
 SELECT *, row_number() OVER (ORDER BY overall DESC NULLS LAST, run)::INT AS place FROM x""", places=9)
 def q_leaderboard_pivot(t):
-    return metrics.leaderboard(_rec(t))
-
-
-@query(f"""WITH {REC} SELECT domain, count(*) AS samples, count(*) FILTER (status = 'error') AS errors, count(*) FILTER (capped) AS cap_hits, count(*) FILTER (valid AND score < 0.25) AS low, count(*) FILTER (valid AND score >= 0.75) AS high,
- CASE WHEN count(*) FILTER (valid AND completion_tokens IS NOT NULL) >= 3 THEN round(covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0), 6) END AS r
- FROM (SELECT *, CASE WHEN valid AND completion_tokens IS NOT NULL THEN score END AS x, CASE WHEN valid AND completion_tokens IS NOT NULL THEN completion_tokens::DOUBLE END AS y FROM rec) GROUP BY domain""")
-def q_reliability(t):
-    r = _rec(t).withColumn("s", F.when(F.col("valid"), F.col("score")))
-    return r.groupBy("domain").agg(F.count("*").alias("samples"), F.count_if(F.col("status") == "error").alias("errors"), F.count_if("capped").alias("cap_hits"), F.count_if(F.col("s") < 0.25).alias("low"), F.count_if(F.col("s") >= 0.75).alias("high"), metrics.guarded_corr("s", "completion_tokens").alias("r"))
+    return metrics.leaderboard(_rec(t), screening.DOMAINS)
 
 
 @query(r"""SELECT t.response.finish_reason AS finish, count(*) AS turns, count(*) FILTER (regexp_full_match(coalesce(t.response.text, ''), '[ \t\n\r]*')) AS empty_turns, sum(coalesce(t.response.usage.completion_tokens, 0))::BIGINT AS completion,
- sum(coalesce(t.response.usage.prompt_tokens, 0))::BIGINT AS prompt FROM (SELECT unnest(turns) AS t FROM samples) WHERE t IS NOT NULL AND t.response IS NOT NULL GROUP BY 1""")
+ sum(coalesce(t.response.usage.prompt_tokens, 0))::BIGINT AS prompt, round(sum(CASE WHEN isnan(t.response.latency) THEN 0 ELSE coalesce(t.response.latency, 0) END), 3) AS seconds, round(sum(CASE WHEN isnan(t.grading_seconds) THEN 0 ELSE coalesce(t.grading_seconds, 0) END), 3) AS grading_seconds,
+ count(*) FILTER (t.response.finish_reason = 'length') AS cap_hits FROM (SELECT unnest(turns) AS t FROM samples) WHERE t IS NOT NULL AND t.response IS NOT NULL GROUP BY 1""", places=3)
 def q_operations_totals(t):
     x = t("samples").select(F.explode("turns").alias("t")).filter("t is not null and t.response is not null")
     zero = lambda c: F.sum(F.coalesce(F.col(c), F.lit(0)))
-    return x.groupBy(F.col("t.response.finish_reason").alias("finish")).agg(F.count("*").alias("turns"), F.count_if(F.coalesce(F.col("t.response.text"), F.lit("")).rlike(r"^[ \t\n\r]*$")).alias("empty_turns"), zero("t.response.usage.completion_tokens").alias("completion"), zero("t.response.usage.prompt_tokens").alias("prompt"))
-
-
-_IDS = "ids AS (SELECT id, min(stratum) AS stratum, min(length_bucket) AS length_bucket FROM splits WHERE id IS NOT NULL GROUP BY id)"
-
-
-@query(f"WITH {PROMPT}, {_IDS} SELECT task, stratum, count(score) AS n, round(avg(score), 6) AS score FROM prompts JOIN ids USING (id) GROUP BY task, stratum")
-def q_strata_rollup(t):
-    ids = t("splits").filter("id is not null").groupBy("id").agg(F.min("stratum").alias("stratum"))
-    return _prompts(t).join(ids, "id").groupBy("task", "stratum").agg(F.count("score").alias("n"), F.avg("score").alias("score"))
-
-
-@query(f"WITH {PROMPT}, {_IDS} SELECT length_bucket, count(*) AS prompts, bool_and(score IS NOT NULL) AS complete, CASE WHEN bool_and(score IS NOT NULL) THEN round(avg(score), 6) END AS score FROM prompts JOIN ids USING (id) WHERE length_bucket IS NOT NULL GROUP BY length_bucket")
-def q_length_rollup(t):
-    ids = t("splits").filter("id is not null").groupBy("id").agg(F.min("length_bucket").alias("length_bucket")).filter("length_bucket is not null")
-    whole = F.every(F.col("score").isNotNull())
-    return _prompts(t).join(ids, "id").groupBy("length_bucket").agg(F.count("*").alias("prompts"), whole.alias("complete"), F.when(whole, F.avg("score")).alias("score"))
+    secs = lambda c: F.sum(F.coalesce(F.nanvl(F.col(c), F.lit(0.0)), F.lit(0.0)))
+    return x.groupBy(F.col("t.response.finish_reason").alias("finish")).agg(
+        F.count("*").alias("turns"), F.count_if(F.coalesce(F.col("t.response.text"), F.lit("")).rlike(r"^[ \t\n\r]*$")).alias("empty_turns"), zero("t.response.usage.completion_tokens").alias("completion"), zero("t.response.usage.prompt_tokens").alias("prompt"),
+        secs("t.response.latency").alias("seconds"), secs("t.grading_seconds").alias("grading_seconds"), F.count_if(F.col("t.response.finish_reason") == "length").alias("cap_hits"),
+    )
 
 
 @query(f"WITH {REC} SELECT id, sample, 'valid grade without turns' AS issue FROM rec WHERE valid AND n_turns = 0 UNION ALL SELECT id, sample, 'capped but scored' FROM rec WHERE valid AND capped AND (score <> 0 OR coalesce(passed, false))")
@@ -311,10 +247,10 @@ def q_prefix_budget(t):
     return selection.prefix_budget(t("documents").select("source", "doc_id", "n_chars"), "source", ["doc_id"], "n_chars", 20_000).select("source", "doc_id", "used")
 
 
-@query("SELECT DISTINCT id, sample, ((7 + ('0x' || substr(id, 1, 8))::BIGINT + sample::BIGINT * 1009 + 2 * 97) % 2147483648)::BIGINT AS seed FROM samples WHERE regexp_matches(id, '^[0-9a-f]{64}$')")
+@query("WITH x AS (SELECT DISTINCT id, sample, unnest(range(len(turns)))::INT AS turn FROM samples WHERE id IS NOT NULL) SELECT id, sample, turn, ((7 + ('0x' || substr(id, 1, 8))::BIGINT + sample::BIGINT * 1009 + turn * 97) % 2147483648)::BIGINT AS seed FROM x")
 def q_sampling_seed(t):
-    s = t("samples").filter("id rlike '^[0-9a-f]{64}$'")
-    return s.select("id", "sample", selection.sampling_seed(7, F.col("id"), F.col("sample"), F.lit(2)).alias("seed")).distinct()
+    s = t("samples").filter("id is not null").select("id", "sample", F.posexplode("turns").alias("turn", "t")).select("id", "sample", "turn").distinct()
+    return s.select("id", "sample", "turn", selection.sampling_seed(7, F.col("id"), F.col("sample"), F.col("turn")).alias("seed"))
 
 
 @query("""WITH x AS (SELECT task, id, list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0)))::BIGINT AS n FROM splits), y AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY n, id) AS rn FROM x) SELECT task, id, n FROM y WHERE rn = 1""")
@@ -378,16 +314,9 @@ _INVALID = f"""CASE {" ".join(f"WHEN {c} IS NULL OR {c} = '' THEN 'no {c}'" for
  WHEN messages[-1].role IS DISTINCT FROM 'user' THEN 'last role' WHEN len(list_filter(messages, lambda m: m.role IN ('system', 'user', 'assistant') AND m.content IS NOT NULL)) < len(messages) THEN 'message' END"""
 
 
-@query(f"SELECT {_INVALID} AS reason, count(*) AS n FROM splits GROUP BY 1")
+@query(f"SELECT id, {_INVALID} AS reason FROM splits")
 def q_validate_record(t):
-    return t("splits").groupBy(screening.invalid_reason().alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query(r"""SELECT CASE WHEN regexp_matches(coalesce(json_extract_string(verification, '$.reference'), json_extract_string(verification, '$.answer'), ''), '^\s*(i|we)\s+(cannot|can''t|won''t|am unable|are unable)\b', 'i') THEN 'refusal in reference'
- WHEN len(list_filter(messages, lambda m: m.role = 'assistant' AND regexp_matches(m.content, '^\s*(i|we)\s+(cannot|can''t|won''t|am unable|are unable)\b', 'i'))) > 0 THEN 'refusal in history'
- WHEN list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))) < 8 THEN 'too short' WHEN list_sum(list_transform(messages, lambda m: coalesce(length(m.content), 0))) > 100000 THEN 'too long' END AS reason, count(*) AS n FROM splits GROUP BY 1""")
-def q_rejection_reason(t):
-    return t("splits").groupBy(screening.rejection_reason().alias("reason")).agg(F.count("*").alias("n"))
+    return t("splits").select("id", screening.invalid_reason().alias("reason"))
 
 
 @query("""WITH x AS (SELECT id, json_extract_string(verification, '$.answer') AS a, (verification::JSON -> '$.labels')::VARCHAR[] AS l FROM splits WHERE verifier = 'choice') SELECT id, coalesce(len(l) < 2 OR len(list_distinct(l)) < len(l) OR NOT list_contains(l, a), true) AS broken FROM x""")
@@ -402,10 +331,10 @@ def q_repair_changes(t):
     return changes.groupBy("old_id").agg(F.count("*").alias("n"))
 
 
-@query("""SELECT CASE WHEN stratum LIKE 'planning%' THEN 'planning' WHEN max_new_tokens <= 0 THEN 'no budget' END AS reason, count(*) AS n FROM splits GROUP BY 1""")
+@query("""SELECT id, CASE WHEN stratum LIKE 'planning%' THEN 'planning' WHEN max_new_tokens <= 0 THEN 'no budget' END AS reason FROM splits""")
 def q_quarantine(t):
-    kept, out = screening.quarantine(t("splits").select("stratum", "max_new_tokens"), F.when(F.col("stratum").startswith("planning"), "planning").when(F.col("max_new_tokens") <= 0, "no budget"))
-    return out.select("reason").unionByName(kept.select(F.lit(None).cast("string").alias("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
+    kept, out = screening.quarantine(t("splits").select("id", "stratum", "max_new_tokens"), F.when(F.col("stratum").startswith("planning"), "planning").when(F.col("max_new_tokens") <= 0, "no budget"))
+    return out.select("id", "reason").unionByName(kept.select("id", F.lit(None).cast("string").alias("reason")))
 
 
 @query("SELECT id, list_aggregate(list_transform(messages, lambda m: m.role || ': ' || coalesce(m.content, '')), 'string_agg', chr(10)) AS text FROM splits")
@@ -440,9 +369,12 @@ def q_task_difference(t):
 # --- texts and grades ---------------------------------------------------------------------------------------------
 
 
+def _last(t) -> DataFrame:
+    return metrics.last_write(t("samples").filter("id is not null and sample is not null"), ["id", "sample"], [F.desc("stored_at"), F.desc("finished_at"), F.desc("run")])
+
+
 def _turns(t) -> DataFrame:
-    s = metrics.last_write(t("samples").filter("id is not null and sample is not null"), ["id", "sample"], [F.desc("stored_at"), F.desc("finished_at"), F.desc("run")])
-    return s.select("id", "sample", F.posexplode("turns").alias("turn", "t")).filter("t is not null and t.response is not null")
+    return _last(t).select("id", "sample", F.posexplode("turns").alias("turn", "t")).filter("t is not null and t.response is not null")
 
 
 def _texts(t, fn, schema: str) -> DataFrame:
@@ -467,12 +399,41 @@ def q_boxed(t):
 
 @query()
 def q_structured_candidates(t):
-    return _texts(t, lambda x: X.structured_candidates(x)[0] if X.structured_candidates(x) else None, "string")
+    return _texts(t, X.structured_candidates, "array<string>")
 
 
-@query()
+_GRAMS = """CASE WHEN len(w) < 4 THEN 0.0::DOUBLE ELSE round(1 - len(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) / (len(w) - 3)::DOUBLE, 6) END"""
+_LAST = "last AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY stored_at DESC, finished_at DESC, run DESC) AS rn FROM samples WHERE id IS NOT NULL AND sample IS NOT NULL) WHERE rn = 1)"
+_JOINED = "coalesce(array_to_string(list_transform(list_filter(turns, lambda t: t.response.text IS NOT NULL), lambda t: t.response.text), chr(10)), '')"
+_SPLIT = r"list_filter(regexp_split_to_array({0}, '[\s\x1c-\x1f\x0b\p{{Z}}\x{{85}}]+'), lambda w: w <> '')"
+
+
+@query(f"WITH {_LAST}, x AS (SELECT id, sample, {_SPLIT.format(_JOINED)} AS w FROM last) SELECT id, sample, {_GRAMS} AS value FROM x")
 def q_repetition_4gram(t):
-    return _texts(t, lambda x: X.repetition([x]), "double")
+    return metrics.repeated_grams(_last(t).select("id", "sample", metrics.joined_text().alias("text")), "text", "value").select("id", "sample", "value")
+
+
+@query(f"""WITH {REC}, {_LAST}, g AS (SELECT id, sample, {_SPLIT.format(_JOINED)} AS w FROM last), y AS (SELECT id, sample, {_GRAMS} AS repetition FROM g),
+z AS (SELECT id, sample, score, repetition, coalesce(list_sum(list_transform(turns, lambda t: coalesce(t.response.usage.completion_tokens, 0))), 0)::BIGINT AS tokens FROM rec JOIN y USING (id, sample) JOIN last USING (id, sample) WHERE rec.valid AND score >= 0.75)
+SELECT * FROM (SELECT *, row_number() OVER (ORDER BY repetition DESC, tokens DESC, id, sample)::INT AS place FROM z) WHERE place <= 100""")
+def q_audit_queue_topk(t):
+    return metrics.audit_queue(_rec(t), _last(t)).select("id", "sample", "score", "repetition", "tokens", "place")
+
+
+_XY = "CASE WHEN count(*) FILTER (valid) >= 3 THEN round(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 6) END"
+
+
+@query(f"""WITH {REC}, {_LAST}, g AS (SELECT id, sample, {_SPLIT.format(_JOINED)} AS w FROM last),
+z AS (SELECT domain, valid, status, capped, CASE WHEN valid THEN score END AS s, CASE WHEN valid THEN {_GRAMS} END AS r, CASE WHEN valid THEN coalesce(list_sum(list_transform(turns, lambda t: coalesce(t.response.usage.completion_tokens, 0))), 0)::DOUBLE END AS k
+ FROM rec JOIN g USING (id, sample) JOIN (SELECT id, sample, turns FROM last) USING (id, sample))
+SELECT domain, count(*) AS samples, count(*) FILTER (NOT valid) AS errors, count(*) FILTER (capped) AS cap_hits, {_XY.format(x="s", y="k")} AS score_length, {_XY.format(x="s", y="r")} AS score_repetition FROM z GROUP BY domain""")
+def q_reliability(t):
+    return metrics.reliability(_rec(t), _last(t))
+
+
+@query(f"WITH {REC} SELECT domain, score, count(*) AS n FROM rec WHERE valid GROUP BY ALL")
+def q_score_histogram(t):
+    return _rec(t).filter("valid").groupBy("domain", "score").agg(F.count("*").alias("n"))
 
 
 @query()
@@ -506,7 +467,7 @@ def q_calendar_overlap(t):
     return t("orders").select("o_custkey", "o_orderdate", prev.alias("prev")).groupBy("o_custkey").agg(F.count("*").alias("orders"), F.count_if(F.col("prev") > F.col("o_orderdate")).alias("overlaps"))
 
 
-@query("SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(avg(value), 6) AS mean, round(max(value), 6) AS most FROM events GROUP BY 1, 2")
+@query("WITH x AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, avg(value) AS mean, max(value) AS most, list_sort(list(value) FILTER (value IS NOT NULL)) AS v FROM events GROUP BY 1, 2) SELECT start, event_type, n, round(mean, 6) AS mean, round(most, 6) AS most, round(v[floor(0.5 * (len(v) - 1))::INT + 1], 6) AS p50, round(v[floor(0.95 * (len(v) - 1))::INT + 1], 6) AS p95 FROM x")
 def q_stats_window(t):
     return requests.interval_stats(t("events"), "ts", "event_type", "value")
 

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import io
 import json
 import os
 import shlex
 import tarfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from gradeloom.session import cut
+
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str | None = None, ordinals: bool = False) -> DataFrame:
     """A row per non-blank line: `line` as it stands (identities are hashes of it), its fields if a schema is given, and
@@ -34,8 +35,9 @@ def write_json(value, path: str) -> None:
     os.replace(f"{path}.partial", path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, multi_line: bool = False) -> DataFrame:
+    """CSV with a header. Only with multi_line may cells hold line breaks; each file is then one task."""
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -44,32 +46,130 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.option("header", True).option("emptyValue", "").option("nullValue", "").csv(path)
 
 
-def read_tar_members(spark: SparkSession, path: str, members: list[str], lines: int = 256) -> DataFrame:
-    """`member`, `ordinal`, `line`: the first lines of the allowed regular members of tar.gz archives; missing ones are an error."""
-    allowed = set(members)
+def read_tar_members(spark: SparkSession, path: str, members: list[str], lines: int | dict[str, int] = 256) -> DataFrame:
+    """`member`, `ordinal`, `line`: the first lines of the allowed regular members of tar.gz archives, read as a stream by one task
+    per archive and written as a table; missing members are an error. lines: for all, or by member (256 for the others)."""
+    allowed, most = set(members), lines if isinstance(lines, dict) else dict.fromkeys(members, lines)
 
     def run(batches):
+        import itertools
+
         import pandas as pd
+        from pyarrow import fs
 
         for pdf in batches:
-            for content in pdf["content"]:
-                with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
+            for name in pdf["path"]:
+                where, inner = fs.FileSystem.from_uri(name if "://" in name else "file://" + name.removeprefix("file:"))
+                with where.open_input_stream(inner, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|*") as tar:
                     for m in tar:
                         if m.isfile() and m.name in allowed:
-                            rows = []
-                            for i, x in enumerate(tar.extractfile(m)):
-                                if i >= lines:
-                                    break
-                                rows.append((m.name, i, x.decode("utf-8", "replace").rstrip("\r\n")))
+                            rows = [(m.name, i, x.decode("utf-8", "replace").rstrip("\r\n")) for i, x in enumerate(itertools.islice(tar.extractfile(m), most.get(m.name, 256)))]
                             yield pd.DataFrame(rows, columns=["member", "ordinal", "line"])
 
-    got = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "member string, ordinal long, line string")
-    found = {r.member for r in got.select("member").distinct().collect()}
+    paths = spark.read.format("binaryFile").load(path).select("path")
+    got = cut(paths.repartition("path").mapInPandas(run, "member string, ordinal long, line string"), "tar")
+    found = {r.member for r in got.select("member").distinct().collect()}  # at most the allowed ones
     if allowed - found:
         raise FileNotFoundError(f"not in the archive: {sorted(allowed - found)}")
     return got
 
 
+def source_files(files: list[str], config: str | None, split: str) -> list[str]:
+    """The raw JSON Lines files of a source that belong to a configuration; files for validation are left out of training."""
+    return [f for f in files if f.endswith(".jsonl") and (not config or config in f) and not (split == "train" and "validation" in f)]
+
+
+def locked_revision(repo: str, pins: dict[str, str]) -> str:
+    """The pinned revision of a source; one without a pin is refused."""
+    if repo not in pins:
+        raise ValueError(f"{repo} has no pinned revision")
+    return pins[repo]
+
+
+def cached_source(spark: SparkSession, root: str, task: str, version: str, build) -> tuple[DataFrame, dict]:
+    """(admitted rows, audit) of a source, built once per version of its adapter: build() gives rows with `reason`. The audit holds
+    seen, eligible, rejections by reason, status. A build that fails leaves status 'source_error' and nothing that could be taken
+    for a whole source; rows appear with the commit of the write."""
+    path, jvm = f"{root}/adapted/{task}/{version}", spark._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(f"{path}/audit.json")
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hadoop):
+        return spark.read.parquet(f"{path}/rows"), json.loads(spark.read.text(f"{path}/audit.json", wholetext=True).first()[0])
+    audit = {"task": task, "version": version, "seen": 0, "eligible": 0, "rejections": {}, "status": "ok"}
+    try:
+        every = cut(build(), "source")
+        counts = {r.reason: r["count"] for r in every.groupBy("reason").count().collect()}  # one row per reason
+        audit |= {"seen": sum(counts.values()), "eligible": counts.get(None, 0), "rejections": {k: v for k, v in counts.items() if k is not None}}
+        rows = every.filter("reason is null").drop("reason")
+        rows.write.mode("overwrite").parquet(f"{path}/rows")
+    except Exception as e:
+        return spark.createDataFrame([], "id string"), audit | {"status": "source_error", "error": f"{type(e).__name__}: {e}"[:500]}
+    out = fs.create(hadoop, True)
+    out.write(bytearray(json.dumps(audit).encode()))
+    out.close()
+    return spark.read.parquet(f"{path}/rows"), audit
+
+
+def append_samples(records: DataFrame, path: str) -> None:
+    """Finished records into the sample store: a table by task, to which runs only append. Readers keep the last write per (id,
+    sample), so a repeated append changes nothing."""
+    records.write.mode("append").partitionBy("task").parquet(path)
+
+
+def read_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The last stored record per (id, sample) of a sample store."""
+    from pyspark.sql import Window
+
+    d = spark.read.parquet(path)
+    w = Window.partitionBy("id", "sample").orderBy(F.desc("stored_at"), F.desc(F.xxhash64(*[c for c in d.columns if not d.schema[c].dataType.typeName() == "map"])))
+    return d.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """`run` and `metrics` (JSON text) of each finished run below a folder; folders whose name starts with a dot are no runs."""
+    try:
+        d = spark.read.text(f"{root}/*/metrics.json", wholetext=True)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "run string, metrics string")
+    run = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return d.select(run.alias("run"), F.col("value").alias("metrics")).filter(~F.col("run").startswith("."))
+
+
+def short_path(path: Column, root: str) -> Column:
+    """A path without the folder it is below; others, and those equal to it, stay whole. Slashes at the end fall away."""
+    p, r = F.regexp_replace(path, "/+$", ""), root.rstrip("/")
+    return F.when(p.startswith(r + "/"), F.substr(p, F.lit(len(r) + 2))).otherwise(p) if r else p
+
+
+def percent(c: Column) -> Column:
+    """Hundredfold with two places, halves to the even digit, as tables show it."""
+    return F.bround(100 * c, 2)
+
+
+def compare_runs(metrics: DataFrame, domains: list[str]) -> DataFrame:
+    """One row per run, best first, runs without a score last: `place`, run, aggregate, its pass@k, every domain's score. metrics:
+    run, metrics. An aggregate that an old file lacks is the mean of its domains. Percentages; what a run lacks is null."""
+    from pyspark.sql import Window
+
+    v = F.try_parse_json("metrics")
+    num = lambda p: F.try_variant_get(v, p, "double")
+    scores = [num(f"$.domains.{d}.score") for d in domains]
+    have = F.filter(F.array(*scores), lambda x: x.isNotNull())
+    rebuilt = F.when(F.size(have) > 0, 100 * F.aggregate(have, F.lit(0.0), lambda a, x: a + x) / F.size(have))
+    ks = F.try_variant_get(v, "$.pass_k", "array<int>")
+    passes = F.try_variant_get(v, "$.aggregate_pass_at_k", "map<string,double>")
+    d = metrics.select("run", F.bround(F.coalesce(num("$.aggregate_score_0_100"), rebuilt), 2).alias("aggregate"), F.transform(F.array_sort(ks), lambda k: F.struct(k.alias("k"), F.bround(F.try_element_at(passes, k.cast("string")), 2).alias("score"))).alias("pass_at_k"), *[percent(s).alias(n) for n, s in zip(domains, scores)])
+    return d.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("aggregate"), "run")))
+
+
+def clock(seconds: float) -> str:
+    """1h02m or 3m04s."""
+    s = int(seconds)
+    return f"{s // 3600}h{s // 60 % 60:02d}m" if s >= 3600 else f"{s // 60}m{s % 60:02d}s"
+
+
 def read_record_files(spark: SparkSession, path: str, schema: StructType | str) -> tuple[DataFrame, DataFrame]:
     """(records, problems) of one JSON file per record, named <id>.<sample>.json. What cannot be read, or is named
     otherwise than its content says, is a problem and not an error."""
@@ -81,17 +181,14 @@ def read_record_files(spark: SparkSession, path: str, schema: StructType | str)
 
 
 def parse_settings(text: str) -> dict[str, str]:
-    """KEY='value' lines, or [KEY]=value entries of a saved script, unquoted as a shell does."""
+    """KEY='value' lines, or [KEY]=value entries of a saved script with comments behind them, unquoted as a shell does."""
     out = {}
-    for line in text.splitlines():
-        line = line.strip()
-        if not line or line.startswith("#") or "=" not in line:
-            continue
-        key, value = line.removeprefix("export ").split("=", 1)
-        key = key.strip().strip("[]")
-        if key.isidentifier():
-            parts = shlex.split(value)
-            out[key] = parts[0] if parts else ""
+    for line in map(str.strip, text.splitlines()):
+        key, sign, value = line.removeprefix("export ").partition("=")
+        entry = key.startswith("[") and key.endswith("]")
+        key = key.strip("[] ")
+        if sign and key.isidentifier():
+            out[key] = "".join(shlex.split(value, comments=entry))
     return out
 
 
