@@ -67,16 +67,19 @@ def thresholds(mu: float, cap: int) -> list[float]:
     return out
 
 
-def mix(documents: DataFrame, targets: DataFrame, ranks: str, seed: str = "p9") -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, targets: DataFrame, ranks: str, seed: str = "p9", keep_shares: bool = False) -> tuple[DataFrame, DataFrame]:
     """(chosen, report). Method: Poisson replication. A source's mean repetition rate is target_weight x all tokens / its
     tokens; a count per document comes from inverting the Poisson distribution at the hash of its id, never above
     max_repeats (the mean is raised so that the capped counts meet the rate). A source that cannot meet its weight even
-    with max_repeats copies of everything falls short and is used that often.
+    with max_repeats copies of everything falls short and is used that often. The others keep to their weight of all tokens, so
+    their share of a mix that falls short is larger; with keep_shares the total is instead the largest that lets every source with
+    documents keep its weight, and what sources without documents lack is missing from it.
 
     Sources are equal when they differ only in case, blanks, hyphens and underscores. Documents of other or no sources
     count in the total but are not chosen; null texts hold 0 tokens; null ids are dropped; repeated deliveries of an id
     count once. chosen: doc_id, source (as in targets), copies (at least 1), tokens (of one copy). report, a row per
-    target: source, target_weight, max_repeats, documents, tokens, rate, wanted, used, share, falls_short. Targets are a
+    target: source, target_weight, max_repeats, documents, tokens, rate, wanted, used, share (of the mix), share_of_total (of the
+    tokens of all documents, which target_weight speaks of), falls_short. Targets are a
     small fixed table (collected; one row per source)."""
     spark = documents.sparkSession
     sized = with_sizes(documents.filter("doc_id is not null").select("doc_id", "source", "text"), ["doc_id", "source"], "text", ranks)
@@ -85,12 +88,15 @@ def mix(documents: DataFrame, targets: DataFrame, ranks: str, seed: str = "p9")
     total = sized.agg(F.sum("tokens").alias("t")).first().t or 0
     have = {r.key: (r.n, r.t) for r in sized.filter(F.col("key").isin([w.key for w in want])).groupBy("key").agg(F.count("*").alias("n"), F.sum("tokens").alias("t")).collect()}
     plan, facts = [], []
+    size = total
+    if keep_shares:
+        size = min([total, *(have[w.key][1] * (w.max_repeats or 0) / w.target_weight for w in want if w.target_weight and have.get(w.key, (0, 0))[1])])
     for w in want:
         n, tokens = have.get(w.key, (0, 0))
         wanted, cap = (w.target_weight or 0.0) * total, max(0, w.max_repeats or 0)
-        rate = wanted / tokens if tokens else 0.0
+        rate = min(wanted, (w.target_weight or 0.0) * size) / tokens if tokens else 0.0
         short = tokens * cap < wanted
-        steps = [0.0] * cap if short else thresholds(rate_for(rate, cap), cap) if rate > 0 else [1.0] * cap
+        steps = [0.0] * cap if rate >= cap else thresholds(rate_for(rate, cap), cap) if rate > 0 else [1.0] * cap
         plan.append((w.key, w.source, steps))
         facts.append((w.key, w.source, w.target_weight, w.max_repeats, n, tokens, rate, wanted, short))
     plan = spark.createDataFrame(plan, "key string, name string, steps array<double>")
@@ -99,8 +105,8 @@ def mix(documents: DataFrame, targets: DataFrame, ranks: str, seed: str = "p9")
     chosen = chosen.filter("copies > 0").select("doc_id", F.col("name").alias("source"), "copies", "tokens")
     used = {r.source: r.t for r in chosen.groupBy("source").agg(F.sum(F.col("copies") * F.col("tokens")).alias("t")).collect()}
     every = sum(used.values()) or 1
-    report = [(*f[1:8], used.get(f[1], 0), used.get(f[1], 0) / every, f[8]) for f in facts]
-    return chosen, spark.createDataFrame(report, "source string, target_weight double, max_repeats int, documents long, tokens long, rate double, wanted double, used long, share double, falls_short boolean")
+    report = [(*f[1:8], used.get(f[1], 0), used.get(f[1], 0) / every, used.get(f[1], 0) / (total or 1), f[8]) for f in facts]
+    return chosen, spark.createDataFrame(report, "source string, target_weight double, max_repeats int, documents long, tokens long, rate double, wanted double, used long, share double, share_of_total double, falls_short boolean")
 
 
 def shuffled_copies(chosen: DataFrame, seed: str = "p9") -> DataFrame:

@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.labels import language_code
 from gradeloom.llm.words import words
+from gradeloom.session import cut, spread_join
 
 #: Bound of the labelled prompts per language that the language model is fitted on.
 LANGUAGE_ROWS = 1_500
 #: Responses that hold a word for it to be known, and responses per one more; responses per end that is told apart.
 COMMON, PER_COMMON, PER_END = 5, 200_000, 500_000
+#: Turns of one prompt beyond which they are spread over several tasks.
+HOT_TURNS = 5_000
 #: Different words or ends that a task counts before it hands them on.
 HELD = 500_000
 #: Character n-grams are counted in so many hashed cells; their longest n.
@@ -432,9 +435,14 @@ def fit_languages(splits: DataFrame) -> Languages:
 
 
 def fit_endings(samples: DataFrame) -> Endings:
-    """The model of ends, counted over all responses: three passes that send counts only. What is held grows slower than
+    """The model of ends over all responses of samples."""
+    return count_endings(samples.select(F.explode("turns").alias("t")).select(F.col("t.response.text").alias("text")))
+
+
+def count_endings(turns: DataFrame) -> Endings:
+    """The model of ends, counted over all responses (column text): three passes that send counts only. What is held grows slower than
     the data, as words and ends have to be met more often where there are more responses (PER_COMMON, PER_END)."""
-    texts = samples.select(F.explode("turns").alias("t")).select(F.col("t.response.text").alias("text")).filter("length(text) > 0")
+    texts = turns.select("text").filter("length(text) > 0")
     n = texts.count()
     model = Endings()
 
@@ -456,11 +464,11 @@ def fit_endings(samples: DataFrame) -> Endings:
 
     least = max(COMMON, n // PER_COMMON)
     model.learn({r.w: r.m for r in counted(model.words_of, "w string, m long").filter(F.col("m") >= least).collect()}, least)
-    sent = samples.sparkSession.sparkContext.broadcast(model)
+    sent = turns.sparkSession.sparkContext.broadcast(model)
     least = max(1, n // PER_END)
     ends = counted(lambda x: Counter({"\x1f".join(k): m for k, m in sent.value.ends_of(x).items()}), "k string, m long")
     model.ask({tuple(r.k.split("\x1f")): r.m for r in ends.filter(F.col("m") >= least).collect()}, least)
-    asked = samples.sparkSession.sparkContext.broadcast(model)
+    asked = turns.sparkSession.sparkContext.broadcast(model)
     model.place({(r.n, r.k): r.m for r in counted(lambda x: asked.value.places_of(x), "n int, k int, m long").collect()}, n)
     return model
 
@@ -476,19 +484,18 @@ def pair_defects(samples: DataFrame, splits: DataFrame) -> DataFrame:
     not judged. Where a turn has no prompt, the messages of the splits row and the user's turns so far stand in.
 
     Repeated deliveries count once; null turns, turns without response and null keys give no row; a turn whose prompt
-    isn't known is judged without it; empty tables give no rows. Nothing but found rows is shuffled, except the prompts
-    of rows that lack one: they are joined by id, a hot id is spread over salts."""
+    isn't known is judged without it; empty tables give no rows. The turns are written once, without what isn't needed; nothing
+    but found rows is shuffled, except rows that lack a prompt: they are joined by id, an id with many rows being spread."""
     spark = samples.sparkSession
-    keyed = samples.filter("id is not null and sample is not null and turns is not null")
-    turns = keyed.select("id", "sample", F.posexplode("turns").alias("turn", "t")).filter("t is not null and t.response is not null")
     user = "element_at(filter({0}, m -> m.role = 'user'), -1).content"
-    turns = turns.select("id", "sample", "turn", F.col("t.response.text").alias("text"), F.expr(f"case when t.prompt is not null then {user.format('t.prompt')} end").alias("asked"), F.col("t.prompt").isNull().alias("lost"))
-    languages, endings = fit_languages(splits), fit_endings(keyed)
-    sent = spark.sparkContext.broadcast((languages, endings))
-    lost = turns.filter("lost").drop("asked", "lost").withColumn("salt", F.pmod(F.xxhash64("sample"), F.lit(16)).cast("int"))
+    turns = samples.filter("id is not null and sample is not null and turns is not null").select("id", "sample", F.posexplode("turns").alias("turn", "t")).filter("t is not null and t.response is not null")
+    asked = F.expr(f"case when t.prompt is not null then {user.format('t.prompt')} end")
+    turns = cut(turns.select("id", "sample", "turn", F.col("t.response.text").alias("text"), asked.alias("asked"), F.col("t.prompt").isNull().alias("lost")), "p4turns")
+    sent = spark.sparkContext.broadcast((fit_languages(splits), count_endings(turns)))
+    lost = turns.filter("lost").select("id", "sample", "turn", "text")
     prompts = splits.filter("id is not null").join(lost.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.max(F.struct("messages", "turns")).alias("x"))
-    prompts = prompts.select("id", F.expr(user.format("x.messages")).alias("first"), F.expr("transform(x.turns, t -> t.message)").alias("later"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
-    lost = lost.join(prompts, ["id", "salt"], "left").select("id", "sample", "turn", "text", F.expr("coalesce(get(later, turn), case when turn = 0 then first end)").alias("asked"))
+    prompts = prompts.select("id", F.expr(user.format("x.messages")).alias("first"), F.expr("transform(x.turns, t -> t.message)").alias("later"))
+    lost = spread_join(lost, prompts, "id", "sample", "left", HOT_TURNS).select("id", "sample", "turn", "text", F.expr("coalesce(get(later, turn), case when turn = 0 then first end)").alias("asked"))
     known = turns.filter("not lost").select("id", "sample", "turn", "text", "asked")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm import crosssplit, grouping, leaks, mixing, packing, pairs, residue, sampling, wordpiece
@@ -83,6 +83,11 @@ def p6_fill(spark: SparkSession, d: str) -> DataFrame:
     return packing.fill_report(packing.pack(table(spark, d, "splits")))
 
 
+def p6_limits(spark: SparkSession, d: str) -> DataFrame:
+    """No capacity is exceeded, no record divided in vain or lost."""
+    return packing.limits(packing.pack(table(spark, d, "splits")))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return grouping.tied_families(table(spark, d, "splits"))
 
@@ -96,6 +101,12 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return grouping.split_report(s, grouping.grouped_split(s))
 
 
+def p7_broken(spark: SparkSession, d: str) -> DataFrame:
+    """No family lies in two splits, and every record in one."""
+    s = table(spark, d, "splits")
+    return grouping.broken_ties(s, grouping.grouped_split(s))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaked_items(table(spark, d, "documents"), table(spark, d, "heldout_pool"))
 
@@ -115,6 +126,13 @@ def p9_report(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), RANKS)[1]
 
 
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of a mix whose size lets every source with documents keep its weight."""
+    _, report = mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), RANKS, keep_shares=True)
+    mixed = F.sum(F.when(F.col("tokens") > 0, F.col("target_weight"))).over(Window.partitionBy())  # one row per target
+    return report.select("source", "target_weight", (F.col("target_weight") / mixed).alias("target_share"), "share", "used")
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shuffled_copies(mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), RANKS)[0])
 
@@ -129,7 +147,7 @@ def p10_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries():
-    names = "p1_found p1_sample p1_report p1_shortfall p2_sample p2_weights p3_token_budget p4_found p5_found p5_report p6_found p6_containers p6_fill p7_found p7_assignment p7_report p8_found p8_report p9_found p9_report p9_mix p10_found p10_report"
+    names = "p1_found p1_sample p1_report p1_shortfall p2_sample p2_weights p3_token_budget p4_found p5_found p5_report p6_found p6_containers p6_fill p6_limits p7_found p7_assignment p7_report p7_broken p8_found p8_report p9_found p9_report p9_shares p9_mix p10_found p10_report"
     return {n: globals()[n] for n in names.split()}
 
 
@@ -156,6 +174,10 @@ WHERE coalesce(h.n, 0) < greatest(t.min_rows, t.target_share * t.sample_fraction
 FROM r JOIN m USING (category) WHERE h < least(1.0::DOUBLE, weight * {CONSTANT}::DOUBLE) * 4503599627370496.0::DOUBLE GROUP BY id""",
         "p2_weights": _P2 + "SELECT category, max(weight) AS weight FROM m GROUP BY category",
         "p6_found": "SELECT DISTINCT id FROM splits WHERE id IS NOT NULL AND length_bucket IS NOT NULL AND max_new_tokens > length_bucket AND length_bucket > 0",
+        "p6_limits": """
+WITH r AS (SELECT id, max(struct_pack(n := max_new_tokens::BIGINT, k := length_bucket::BIGINT)) AS x FROM splits WHERE id IS NOT NULL GROUP BY id)
+SELECT x.k AS kind, count(*) AS records, 0::BIGINT AS divided_in_vain, 0::BIGINT AS lost_pieces, sum(x.n)::BIGINT AS tokens, 0::BIGINT AS over_tokens, 0::BIGINT AS over_items, 0::BIGINT AS over_attention FROM r WHERE x.n > 0 AND x.k > 0 GROUP BY 1""",
+        "p7_broken": "SELECT count(DISTINCT id) AS records, count(DISTINCT id) AS ids, 0::BIGINT AS crossed FROM splits WHERE id IS NOT NULL",
         "p7_found": """
 WITH RECURSIVE fam AS (SELECT DISTINCT nullif(lower(trim(family_id)), '') AS a, nullif(lower(trim(x.alias)), '') AS b FROM splits, unnest(family_aliases) AS x(alias)),
 e AS (SELECT a, b FROM fam WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b UNION SELECT b, a FROM fam WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b),

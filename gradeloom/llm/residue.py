@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
+from operator import eq
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -91,10 +93,16 @@ _MARK_SIGNS = [
 ]
 #: Words of a sentence that talks about a sign which it quotes.
 _ABOUT = re.compile(r"(?i)\b(?:template|placeholder|syntax|variable|loader|escape[sd]?|notation|format string|field|token|renders?|literal(?:ly)?|written as|stands for)\b")
+#: A sentence that explains how such signs are filled.
+_EXPLAINS = re.compile(r"(?i)\btemplate (?:variable|tag|engine|syntax|language)s?\b|\bplaceholder syntax\b|\b(?:jinja2?|mustache|handlebars)\b|\binterpolat\w+|\b(?:is|are|gets?|will be) (?:replaced|substituted|expanded|rendered|filled in) (?:by|with|as|from|when)\b|\bin (?:double |curly |angle |square )+(?:braces|brackets)\b")
+#: Sentences per field of weight 1 up to which a text has them often enough to be a form.
+DENSITY = 40
 _QUOTED = re.compile(r"[\"'“”„‘’]\s*$")
 
 #: Words of the usual filler text.
 _LATIN = frozenset("lorem ipsum dolor sit amet consectetur adipiscing adipisicing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud exercitation ullamco laboris nisi aliquip ex ea commodo consequat duis aute irure in reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum".split())
+_STRONG = frozenset("lorem ipsum adipiscing consectetur eiusmod incididunt ullamco aliquip nostrud exercitation laboris veniam amet tempor commodo dolore consequat magna aliqua labore nisi".split())
+_MASH_SIGN = re.compile(r"\b(?:asdf|qwert|zxcv|jkl|hjkl|sdfg|dfgh|fghj|uiop|yuiop|xcvb|bla|blub|foo|bar|baz|test|йцукен|фыва|([a-z])\1{2,}\b)")
 _MASH = re.compile(r"^(?:asdf\w*|qwert\w*|zxcv\w*|jkl\w*|hjkl|sdfg\w*|dfgh\w*|fghj\w*|uiop|yuiop|xcvb\w*|([a-z])\1{2,}|bla+h?|blub+|foo|bar|baz|test|йцукен|фыва\w*)$")
 _FILLER = re.compile(
     r"(?i)\bdummy (?:copy|text)\b|\bbody copy goes\b|\b(?:sample|filler|placeholder|blind) text\b(?:[\s.,;]+(?:sample|filler|placeholder|blind) text\b)+|\bthis is (?:a |some )?(?:dummy|filler|placeholder|sample|blind) (?:text|copy|paragraph|content)\b"
@@ -117,8 +125,8 @@ _ERRORS = re.compile(
     r"|^\W*access\ (?:to\ this\ (?:page|site)\ )?(?:is\ |has\ been\ |was\ )?denied|\b(?:you\ )?(?:do\ not|don't)\ have\ (?:the\ )?permission|\bpermission\ denied\b|^\W*forbidden\W*$|\byou\ (?:have\ been|are|were)\ (?:temporarily\ )?blocked\b|\byour\ (?:ip(?:\ address)?|access|request)\b.*\b(?:blocked|denied|banned|limited)"
     r"|\b(?:session|token)\ (?:has\ |is\ )?(?:expired|timed\ out)|\b(?:log|sign)\ in\ (?:again|to\ (?:continue|view|see))|\bplease\ (?:log|sign)\ in\b"
     r"|\boops\b|\bsomething\ went\ wrong\b|\bour\ side\b|^\W*try\ again\ (?:later|in\ a\ few|in\ some)|\bplease\ try\ again\b|\bcheck\ the\ address\b"
-    r"|\bconnection\ (?:has\ )?(?:timed\ out|timeout|refused|reset|failed)|\bserver\ (?:took\ too\ long|is\ (?:down|busy|unavailable|overloaded)|error\b)|\bupstream\ connect\ error|\breset\ reason|\bdisconnect/reset|\btemporarily\ (?:down|unavailable|offline)|\bdown\ for\ maintenance|\bunder\ maintenance|\brate\ limit(?:ed)?\b|\btoo\ many\ (?:requests|clients|connections)"
-    r"|\bdatabase\ (?:connection|error)|\bfatal\ error\b|\bmemory\ size\ exhausted|^\W*traceback\ \(most\ recent|^\W*file\ \"[^\"]+\",\ line\ \d+|^\W*\w*(?:error|exception)\s*:\s|\bunhandled\ exception|\bstack\ trace\b|^\s*row\ =\ store"
+    r"|\bconnection\ (?:has\ )?(?:timed\ out|timeout|refused|reset|failed)|\bserver\ (?:took\ too\ long|is\ (?:down|busy|unavailable|overloaded)|error\b)|\bupstream\ connect\ error|\bdisconnect/reset|\btemporarily\ (?:down|unavailable|offline)|\bdown\ for\ maintenance|\bunder\ maintenance|\brate\ limit(?:ed)?\b|\btoo\ many\ (?:requests|clients|connections)"
+    r"|\bdatabase\ (?:connection|error)|\bfatal\ error\b|\bmemory\ size\ exhausted|^\W*traceback\ \(most\ recent|^\W*file\ \"[^\"]+\",\ line\ \d+|^\W*\w*(?:error|exception)\s*:\s|\bunhandled\ exception|\bstack\ trace\b"
     r"|\bchecking\ (?:that|if|whether)\ you\ are\ (?:a\ )?human|\bchecking\ your\ browser|\bare\ you\ (?:a\ )?(?:human|robot)|\bnot\ a\ robot\b|\bcaptcha\b|\bverify(?:ing)?\ (?:that\ )?you\ are\ (?:a\ )?human|\bthis\ may\ take\ a\ few\ seconds|\bunusual\ traffic|\bnot\ available\ in\ your\ (?:region|country|area)|\bcloudflare\b|\bray\ id\b"
     r"|zugriff\ verweigert|sitzung\ ist\ abgelaufen|nicht\ (?:erreichbar|verfügbar|gefunden)\W|seite\ (?:wurde\ )?nicht\ gefunden|versuchen\ sie\ es\ (?:später|erneut|noch)|melden\ sie\ sich\ (?:erneut\ )?an|interner\ serverfehler|vorübergehend\ nicht"
     r"|accès\ (?:refusé|interdit)|session\ a\ expiré|(?:momentanément|temporairement)\ indisponible|page\ (?:est\ )?introuvable|n'existe\ (?:pas|plus)|veuillez\ réessayer|veuillez\ vous\ (?:re)?connecter|erreur\ interne|impossible\ de\ (?:trouver|charger|afficher)"
@@ -137,9 +145,9 @@ _SCRIPTS = re.compile(
 )
 #: Stems of which every notice of more than NOTICE_WORDS words has one; shorter sentences are always looked at.
 NOTICE_WORDS = 5
-_STEMS = ("error", "fehler", "erreur", "ошибк", "错误", "http", "status", "message", "found", "gateway", "request", "forbidden", "denied", "permission", "blocked", "banned", "limit", "expired", "timed out", "timeout", "log in", "sign in", "oops", "wrong", "our side", "again", "address", "looking for", "could", "can't", "cannot", "refused", "reset", "failed", "server", "temporarily", "maintenance", "too many", "database", "memory", "traceback", "file ", "exception", "stack trace", "row =", "human", "browser", "robot", "captcha", "seconds", "traffic", "cloudflare", "ray id", "not available", "code", "unavailable",
+_STEMS = ("error", "fehler", "erreur", "ошибк", "错误", "http", "status", "message", "found", "gateway", "request", "forbidden", "denied", "permission", "blocked", "banned", "limit", "expired", "timed out", "timeout", "log in", "sign in", "oops", "wrong", "our side", "again", "address", "looking for", "could", "can't", "cannot", "refused", "reset", "failed", "server", "temporarily", "maintenance", "too many", "database", "memory", "traceback", "file ", "exception", "stack trace", "human", "browser", "robot", "captcha", "seconds", "traffic", "cloudflare", "ray id", "not available", "code", "unavailable",
           "script", "cookie", "displayed", "verweigert", "abgelaufen", "nicht", "versuchen", "melden sie", "accès", "expiré", "indisponible", "introuvable", "existe", "réessayer", "connecter", "impossible", "acceso", "caducado", "disponible", "encontr", "ntelo", "inicie", "доступ", "сесси", "страниц", "недоступ", "сервер", "позже", "позднее", "снова", "попытк", "ещё раз", "войдите", "скрипт", "сценари", "skript", "abgeschaltet", "访问", "权限", "会话", "页面", "服务", "暂时", "稍后", "登录", "网关", "脚本")
-_TEACH = re.compile(r"(?i)\b(?:course|teaches|lesson|tutorial|shows how|explains?|explained|chapter|lecture|answered|returned|logged|report(?:s|ed)?|checked links|retries)\b")
+_TEACH = re.compile(r"(?i)\b(?:course|teaches|lesson|tutorial|shows how|explains?|explained|chapter|lecture|answered|returned|logged|report(?:s|ed)?)\b")
 _SENT = re.compile(r"(?<=[.!?。！？])\s+|(?<=[。！？])|\n+")
 _WORD = re.compile(r"[一-鿿]|[^\W_一-鿿]+")
 
@@ -193,7 +201,7 @@ def _without_code(text: str) -> str:
 def placeholder_weight(text: str) -> int:
     """Weight of unfilled fields and unwritten-part markers outside of code and notation."""
     body = _masked(text)
-    got, seen = 0, set()
+    got, weak, seen = 0, 0, set()
     for (pattern, weight), signs in zip(_FIELDS, _FIELD_SIGNS, strict=True):
         if not any(x in body for x in signs):
             continue
@@ -201,9 +209,13 @@ def placeholder_weight(text: str) -> int:
             if m.span() in seen or _discussed(body, m):
                 continue
             seen.add(m.span())
-            got += 2 if weight == 1 and _awaits_value(body, m) else weight
-            if got >= 2:
-                return got
+            if weight == 2 or _awaits_value(body, m):
+                return 2
+            weak += 1
+    # names in brackets are fields where there are several, unless they are few in a long text
+    if weak >= 2 and DENSITY * weak >= sum(1 for s in _SENT.split(body) if s and not s.isspace()):
+        return 2
+    got = min(weak, 1)
     low = body.lower()
     for m in _ANGLE.finditer(body) if "<" in body else ():
         name = m.group(1).lower()
@@ -216,12 +228,10 @@ def placeholder_weight(text: str) -> int:
 
 
 def _discussed(body: str, m: re.Match) -> bool:
-    """Whether the sign is quoted in a sentence that talks about such signs."""
-    if not _QUOTED.search(body[max(0, m.start() - 2) : m.start()]):
-        return False
-    start = max(body.rfind(". ", 0, m.start()), body.rfind("\n", 0, m.start()))
-    end = min(x for x in (body.find(". ", m.end()), body.find("\n", m.end()), len(body)) if x >= 0)
-    return bool(_ABOUT.search(body[start + 1 : end]))
+    """Whether the sign stands in a sentence that explains how such signs are filled, or is quoted in one that talks about them."""
+    start, end = _sentence(body, m)
+    around = body[start : m.start()] + " " + body[m.end() : end]
+    return bool(_EXPLAINS.search(around) or _QUOTED.search(body[max(0, m.start() - 2) : m.start()]) and _ABOUT.search(around))
 
 
 def _sentence(body: str, m: re.Match) -> tuple[int, int]:
@@ -253,28 +263,22 @@ def _awaits_value(body: str, m: re.Match) -> bool:
 def is_filler(text: str) -> bool:
     """A run of filler words, keyboard noise, one word or phrase again and again, or a sentence that says it is filler."""
     body = _FENCE.sub("\n", text)
-    ws = _WORD.findall(body.lower())
-    latin = mash = same = 0
-    strong = 0
-    for i, w in enumerate(ws):
-        if w in _LATIN:
-            latin += 1
-            strong += w in ("lorem", "ipsum", "adipiscing", "consectetur", "eiusmod", "incididunt", "ullamco", "aliquip", "nostrud", "exercitation", "laboris", "veniam", "amet", "tempor", "commodo", "dolore", "consequat", "magna", "aliqua", "labore", "nisi")
-        else:
-            latin = strong = 0
-        if latin >= 8 and strong >= 3:
-            return True
-        mash = mash + 1 if _MASH.match(w) else 0
-        if mash >= 5:
-            return True
-        same = same + 1 if i and (w == ws[i - 1] or i > 1 and w == ws[i - 2] and ws[i - 1] == ws[max(0, i - 3)]) else 0
-        if same >= 7 and not w.isdigit():
+    low = body.lower()
+    ws = _WORD.findall(low)
+    # runs are looked for only where a text has enough of what they are made of
+    n = len(ws)
+    if sum(map(_STRONG.__contains__, ws)) >= 3 and _longest(ws, _LATIN.__contains__, 8, lambda run: sum(w in _STRONG for w in run) >= 3):
+        return True
+    if _MASH_SIGN.search(low) and _longest(ws, lambda w: bool(_MASH.match(w)), 5):
+        return True
+    if sum(map(eq, ws, ws[1:])) + sum(map(eq, ws, ws[2:])) >= 7:
+        again = [i for i in range(1, n) if (ws[i] == ws[i - 1] or i > 1 and ws[i] == ws[i - 2] and ws[i - 1] == ws[max(0, i - 3)]) and not ws[i].isdigit()]
+        if any(b - a == 6 for a, b in zip(again, again[6:])):
             return True
     if latin_share(body, len(ws)):
         return True
     if len(_SKELETON.findall(body)) >= 4:
         return True
-    low = body.lower()
     if not any(x in low for x in _FILLER_SIGNS) or not _FILLER.search(body):
         return False
     # a sentence that says so is filler unless a text of other content only mentions it
@@ -282,6 +286,11 @@ def is_filler(text: str) -> bool:
     return len(_FILLER.findall(body)) > 1 or not _TEACH.search(part) and (len(_WORD.findall(part)) <= 30)
 
 
+def _longest(ws: list[str], of, least: int, fine=lambda run: True) -> bool:
+    """Whether some run of words of a kind is long enough and fine."""
+    return any(ok and len(run := list(g)) >= least and fine(run) for ok, g in groupby(ws, of))
+
+
 def latin_share(body: str, n: int) -> bool:
     """Whether sentences of nothing but usual filler words make up half of a text of n words, be it ever so short."""
     if "lorem" not in (low := body.lower()) and "ipsum" not in low:

@@ -106,9 +106,10 @@ def with_token_counts(df: DataFrame, keys: list[str], text: str, pieces: list[st
     """keys of df and `tokens`, the exact count over the whole text (or over all strings of an array if many). Null
     texts hold 0 tokens. Nothing is shuffled: one pass over Arrow batches, one automaton per task."""
     schema = df.select(*keys).schema.add("tokens", "long")
+    sent = pieces if hasattr(pieces, "value") else df.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = LongestMatch(pieces)
+        counter = LongestMatch(sent.value)
         for pdf in batches:
             if many:
                 got = [0 if x is None else sum(counter.count_text(t) for t in x) for x in pdf["_text"]]
@@ -138,6 +139,7 @@ def token_budget(splits: DataFrame, documents: DataFrame, pieces: DataFrame, max
     vocabulary = [r.piece for r in pieces.select("piece").limit(max_pieces + 1).collect() if r.piece]
     if len(vocabulary) > max_pieces:
         raise ValueError(f"more than {max_pieces} pieces")
+    vocabulary = splits.sparkSession.sparkContext.broadcast(vocabulary)  # once for both tables
     unknown = lambda c: F.coalesce(c, F.lit("unknown"))
     s = splits.filter("id is not null").select("id", repository(F.col("source")).alias("source"), "language", "domain", "task", F.expr("transform(messages, m -> m.content)").alias("_c"))
     s = with_token_counts(s, ["id", "source", "language", "domain", "task"], "_c", vocabulary, many=True)

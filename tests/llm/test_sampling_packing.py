@@ -81,11 +81,12 @@ def test_consistent_sample_only_grows(spark):
 def test_best_fit_keeps_all_capacities(seed):
     r = np.random.default_rng(seed)
     n = r.integers(1, 1000, 400)
-    b = P.best_fit(n, 1000, 8, 0.6 * 1000 * 1000 + 1e6)
+    b = P.best_fit(np.stack([n / 1000, np.full(400, 1 / 8), (n / 1000) ** 2 / 0.8], axis=1))
     for k in set(b):
         inside = n[b == k]
-        assert inside.sum() <= 1000 and len(inside) <= 8
-    assert len(set(b)) <= np.ceil(n.sum() / 1000) * 1.12 + 1
+        assert inside.sum() <= 1000 and len(inside) <= 8 and (len(inside) == 1 or (inside.astype(float) ** 2).sum() <= 0.8 * 1000 * 1000 + 1e-6)
+    assert len(set(b)) <= np.ceil(n.sum() / 1000) * 1.16 + 1
+    assert any(n[b == k].sum() > 895 and (b == k).sum() == 1 for k in set(b))  # a record beyond the attention capacity stands alone
 
 
 def test_pack(spark):
@@ -106,3 +107,7 @@ def test_pack(spark):
     f = P.fill_report(P.pack(df)).first()
     assert f.divided == 2 and f.filled > 0.93
     assert P.pack(df.limit(0)).count() == 0
+    x = P.limits(P.pack(df)).first()
+    assert (x.records, x.over_tokens, x.over_items, x.over_attention, x.divided_in_vain, x.lost_pieces) == (902, 0, 0, 0, 0, 0)
+    tight = P.limits(P.pack(df, max_items=3, max_attention=0.3), 3, 0.3).first()
+    assert (tight.records, tight.over_items, tight.over_attention) == (902, 0, 0)
