@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,8 +160,10 @@ def _question() -> Column:
 Parts = dict[str, Column]
 
 
-def _struct(**fields: Column) -> Column:
-    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
+def _struct(optional: tuple[str, ...] = (), **fields: Column) -> Column:
+    """JSON of the fields; null if one that isn't optional is null: then the raw row lacks what its kind needs."""
+    whole = reduce(lambda a, b: a & b, [c.isNotNull() for n, c in fields.items() if n not in optional], F.lit(True))
+    return F.when(whole, F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()])))
 
 
 def _gsm() -> Parts:
@@ -184,7 +187,7 @@ def _with_gold(kind: str) -> Callable[[], Parts]:
         judged = F.lit("equivalence") if kind == "openqa" else F.when(F.coalesce(text_at("$.verifier_type"), F.lit("")).contains("judge"), "equivalence").otherwise("math")
         fields = {"answer": gold, "output_regex": text_at("$.template_metadata.output_regex")} | ({"labels": labels} if kind == "mcqa" else {})
         asked = F.coalesce(F.nullif(text_at("$.question"), F.lit("")), F.nullif(text_at("$.problem"), F.lit("")), _last(msgs))
-        return {"messages": msgs, "prompt": asked, "verifier": F.lit("choice") if kind == "mcqa" else judged, "verification": _struct(**fields), "stratum": F.coalesce(text_at("$.metadata.topic"), F.lit("default")), "reason": _case(*rules)}
+        return {"messages": msgs, "prompt": asked, "verifier": F.lit("choice") if kind == "mcqa" else judged, "verification": F.coalesce(_struct(("output_regex",), **fields), F.lit("{}")), "stratum": F.coalesce(text_at("$.metadata.topic"), F.lit("default")), "reason": _case(*rules)}
 
     return build
 
@@ -210,7 +213,7 @@ def _trivia() -> Parts:
 def _hotpot() -> Parts:
     passages = render_passages(list_at("$.context.title"), list_at("$.context.sentences", "array<string>"))
     q = F.concat(F.lit(PASSAGES_START), passages, F.lit("\n\nQuestion: "), _question(), F.lit(SHORT_END))
-    return {"messages": user_turn(q), "verifier": F.lit("grounded"), "verification": _struct(aliases=F.array(text_at("$.answer"))), "stratum": F.coalesce(text_at("$.type"), F.lit("default"))}
+    return {"messages": user_turn(q), "verifier": F.lit("grounded"), "verification": _struct(aliases=F.when(text_at("$.answer").isNotNull(), F.array(text_at("$.answer")))), "stratum": F.coalesce(text_at("$.type"), F.lit("default"))}
 
 
 def _chat(kind: str) -> Callable[[], Parts]:
@@ -241,7 +244,7 @@ def _nchallenge() -> Parts:
 def _challenge() -> Parts:
     msgs = F.transform(F.arrays_zip(list_at("$.conversation.role").alias("role"), list_at("$.conversation.content").alias("content")), lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")))
     check = F.struct(text_at("$.target_question").alias("content"), text_at("$.pass_criteria").alias("pass_criteria"))
-    return {"messages": msgs, "prompt": _asked_by_user(msgs), "verifier": F.lit("rubric"), "verification": _struct(checks=F.array(check)), "stratum": text_at("$.axis")}
+    return {"messages": msgs, "prompt": _asked_by_user(msgs), "verifier": F.lit("rubric"), "verification": _struct(checks=F.when(text_at("$.target_question").isNotNull() & text_at("$.pass_criteria").isNotNull(), F.array(check))), "stratum": text_at("$.axis")}
 
 
 def _instruction() -> Parts:

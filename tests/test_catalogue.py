@@ -20,7 +20,7 @@ def norm(v):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-@pytest.mark.parametrize("name", ["q_domain_rollup", "q_aggregate", "q_summarize_grouping_sets", "q_coverage_grid", "q_balanced_sample", "q_overlap_counts", "q_leaderboard_pivot"])
+@pytest.mark.parametrize("name", ["q_domain_rollup", "q_aggregate", "q_length_rollup", "q_audit_counts", "q_coverage_grid", "q_balanced_sample", "q_overlap_counts", "q_leaderboard_pivot", "q_rejection_reason", "q_gold_attach", "q_trajectory_grade", "q_adapt_mcqa", "q_adapt_multiif", "q_adapt_apps"])
 def test_same_as_sql(spark, name):
     import duckdb
 

@@ -33,9 +33,6 @@ def test_rollup_incomplete_and_capped(spark):
     assert (p["a"].score, p["a"].passes) == (0.5, 1) and p["b"].score is None and (p["c"].score, p["c"].passes) == (0.75, None)
     t = {x.task: x for x in M.task_rollup(M.prompt_rollup(r, 2), 2).collect()}
     assert (t["t"].complete, t["t"].incomplete, t["t"].pass_at_1, t["t"].pass_at_2) == (1, 1, 0.5, 1.0) and t["t"].stderr is None and t["u"].pass_at_1 is None
-    d = M.domain_rollup(M.task_rollup(M.prompt_rollup(r, 2), 2), {"t": 0.5})
-    a = M.aggregate(d, ["math", "logic", "python"]).first()
-    assert abs(a.score - 62.5) < 1e-9 and a.scored == 2 and not a.complete and a.missing == "python"
 
 
 def test_distribution_of_dirty_numbers(spark):
@@ -63,5 +60,20 @@ def test_guards(spark):
     assert df.agg(M.guarded_corr("x", "y").alias("r")).first().r is None
     assert df.limit(2).agg(M.guarded_corr("y", "y").alias("r")).first().r is None
     assert df.agg(M.wilson_upper(F.lit(0), F.lit(0)).alias("w")).first().w is None
-    assert df.agg(M.nearest_lower("y", 0.5).alias("v")).first().v == 3.0
-    assert df.limit(0).agg(M.nearest_lower("y", 0.5).alias("v")).first().v is None
+    many = spark.createDataFrame([(k, float(x)) for k in "ab" for x in [5, 1, 1, 1, 9, 7]] + [("c", None)], "k string, y double")
+    got = {r.k: (r.p50, r.p95, r.p0) for r in M.nearest_lower(many, ["k"], "y", [0.5, 0.95, 0.0], ["p50", "p95", "p0"]).collect()}
+    assert got == {"a": (1.0, 7.0, 1.0), "b": (1.0, 7.0, 1.0)}
+    assert M.nearest_lower(many.limit(0), ["k"], "y", [0.5], ["p50"]).count() == 0
+
+
+def test_failure_reasons_from_components(spark):
+    rows = [("a", '{"failure": "empty_response"}'), ("b", '{"execution_status": "failed", "defines_entry_point": false}'), ("c", '{"execution_status": "timeout"}'), ("d", '{"syntax": false}'), ("e", '{"schema": false}'), ("f", '{"requested_format": false}'), ("g", '{"acceptability": false, "mandatory_pass": false}'), ("h", None)]
+    df = spark.createDataFrame([(i, c, True, False, 0.0, False, 1) for i, c in rows], "id string, c string, valid boolean, passed boolean, score double, capped boolean, n_turns int")
+    got = {r.id: r.w for r in df.select("id", M.failure_reason(F.col("c")).alias("w")).collect()}
+    assert got == {"a": "empty response", "b": "code: requested function not defined", "c": "code: timeout", "d": "unparseable structure", "e": "schema mismatch", "f": "answer in other format", "g": "mandatory check failed", "h": "wrong answer"}
+
+
+def test_repetition(spark):
+    df = spark.createDataFrame([(1, "a b c d a b c d"), (2, "a b"), (3, None), (4, "x " * 5000)], "id int, t string")
+    got = {r.id: r.v for r in M.repeated_grams(df, "t", "v").collect()}
+    assert got[1] == 1 - 4 / 5 and got[2] == got[3] == 0.0 and got[4] > 0.99
