@@ -202,3 +202,49 @@ def judge_stats(attempts: DataFrame) -> DataFrame:
         F.count("*").alias("attempts"), F.count_if(F.coalesce(F.col("status") != "valid", F.lit(True))).alias("failed"), F.count_if(F.col("attempt") > 0).alias("retries"), F.count_if("fenced").alias("fenced"),
         F.count_if(F.col("finish") == "length").alias("cut_off"), zero("completion_tokens").alias("completion_tokens"), zero("latency").alias("seconds"),
     )
+
+
+def compact_records(samples: DataFrame) -> DataFrame:
+    """What an audit keeps of a record, without prompts, responses, gold and raw bodies: id, sample, task, domain, the grade's status,
+    score, passed, error, and of each turn finish, tokens, latency, grading time, cap, and whether its text is empty."""
+    turn = lambda t: F.struct(
+        t.response.finish_reason.alias("finish"), t.response.usage.prompt_tokens.alias("prompt_tokens"), t.response.usage.completion_tokens.alias("completion_tokens"), t.response.usage.reasoning_tokens.alias("reasoning_tokens"),
+        t.response.latency.alias("latency"), t.grading_seconds.alias("grading_seconds"), F.coalesce(t.response.text, F.lit("")).rlike(r"(?U)^\s*$").alias("empty"), t.response.request.max_tokens.alias("output_cap"))
+    return samples.select("id", "sample", "task", F.lower(F.trim("domain")).alias("domain"), "grade.status", "grade.score", "grade.passed", "grade.error", F.transform("turns", turn).alias("turns"))
+
+
+def integrity_issues(samples: DataFrame, planned: DataFrame, n: int, file: str | None = None) -> DataFrame:
+    """`id`, `sample`, `issue`: the first problem of each stored record that does not belong to a run as it stands: an id that was not
+    planned, a sample outside of 0 to n-1, one stored more than once (each of them), a file of another name, another task or
+    domain than the row's, a grade of an unknown status, a valid one whose score is no number from 0 to 1, and one of a binary row
+    without a verdict. samples: id, sample, task, domain, status, score, passed (and a column of file names)."""
+    from pyspark.sql import Window
+
+    c = F.col
+    plan = planned.select(c("id").alias("_id"), c("task").alias("_task"), c("domain").alias("_domain"), c("binary").alias("_binary"))
+    d = samples.withColumn("_n", F.count("*").over(Window.partitionBy("id", "sample"))).join(plan, c("id") == c("_id"), "left")
+    named = F.lit(False) if file is None else ~F.element_at(F.split(c(file), "/"), -1).eqNullSafe(F.concat(c("id"), F.lit("."), c("sample").cast("string"), F.lit(".json")))
+    valid = c("status").eqNullSafe("valid")
+    number = c("score").isNotNull() & ~F.isnan("score") & c("score").between(0, 1)
+    issue = (
+        F.when(c("_id").isNull(), "unexpected id").when(~F.coalesce(c("sample").between(0, n - 1), F.lit(False)), "sample index").when(c("_n") > 1, "stored more than once").when(named, "file name")
+        .when(~c("task").eqNullSafe(c("_task")), "task").when(~c("domain").eqNullSafe(c("_domain")), "domain").when(c("status").isNotNull() & ~c("status").isin("valid", "error"), "grade status")
+        .when(valid & ~F.coalesce(number, F.lit(False)), "score").when(valid & c("_binary") & c("passed").isNull(), "no verdict")
+    )
+    return d.select("id", "sample", issue.alias("issue")).filter("issue is not null")
+
+
+def policy_violations(rec: DataFrame, planned_turns: DataFrame) -> DataFrame:
+    """`id`, `sample`, `issue` of valid records: fewer turns than planned although the last one was not cut off, or none at all; and
+    cut off, yet scored. rec: id, sample, valid, score, passed, capped, n_turns, last_finish. planned_turns: id, expected."""
+    c = F.col
+    d = rec.filter("valid").join(planned_turns, "id", "left").withColumn("expected", F.coalesce("expected", F.lit(1)))
+    ended = c("last_finish").eqNullSafe("length") & (c("n_turns") < c("expected"))
+    issues = F.array(F.when((c("n_turns") == 0) | ((c("n_turns") != c("expected")) & ~ended), "incomplete trajectory"), F.when(c("capped") & ((c("score") != 0) | F.coalesce("passed", F.lit(False))), "capped but scored"))
+    return d.select("id", "sample", F.explode(F.array_compact(issues)).alias("issue"))
+
+
+def metric_differences(saved: dict, recomputed: dict, names: Sequence[str] = ("truncated", "errors", "incomplete", "score", "complete")) -> list[tuple[str, object, object]]:
+    """(metric, saved, recomputed) where a saved report of a run that has ended differs; metrics that an older report lacks are
+    left out."""
+    return [(n, saved[n], recomputed.get(n)) for n in names if n in saved and saved[n] != recomputed.get(n)]

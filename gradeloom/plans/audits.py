@@ -178,6 +178,33 @@ def q_judge_stats(t):
     return protocol.judge_stats(x.select("status", "attempt", F.col("x.response.finish_reason").alias("finish"), F.col("x.response.text").contains("```").alias("fenced"), F.col("x.response.usage.completion_tokens").alias("completion_tokens"), F.col("x.response.latency").alias("latency")))
 
 
+@query(f"""WITH {REC}, {_PLANNED}, f AS (SELECT id, max(coalesce(len(turns), 1)) AS expected FROM splits WHERE id IS NOT NULL GROUP BY id),
+l AS (SELECT id, sample, turns[-1].response.finish_reason AS last_finish FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY stored_at DESC, finished_at DESC, run DESC) AS rn FROM samples WHERE id IS NOT NULL AND sample IS NOT NULL) WHERE rn = 1),
+v AS (SELECT rec.*, greatest(coalesce(expected, 1), 1) AS expected, last_finish FROM rec JOIN l USING (id, sample) LEFT JOIN f USING (id) WHERE valid)
+SELECT id, sample, 'incomplete trajectory' AS issue FROM v WHERE n_turns = 0 OR (n_turns <> expected AND NOT (coalesce(last_finish = 'length', false) AND n_turns < expected)) UNION ALL SELECT id, sample, 'capped but scored' FROM v WHERE capped AND (score <> 0 OR coalesce(passed, false))""")
+def q_policy_violations(t):
+    last = _last(t).select("id", "sample", F.try_element_at("turns", F.lit(-1))["response"]["finish_reason"].alias("last_finish"))
+    turns = t("splits").filter("id is not null").groupBy("id").agg(F.greatest(F.max(F.coalesce(F.size("turns"), F.lit(1))), F.lit(1)).alias("expected"))
+    return protocol.policy_violations(_rec(t).join(last, ["id", "sample"]), turns)
+
+
+@query(f"""WITH {_PLANNED}, x AS (SELECT *, count(*) OVER (PARTITION BY id, sample) AS n FROM samples WHERE id IS NOT NULL), y AS (SELECT x.id, x.sample, CASE WHEN p.id IS NULL THEN 'unexpected id' WHEN NOT coalesce(sample BETWEEN 0 AND {N} - 1, false) THEN 'sample index' WHEN n > 1 THEN 'stored more than once'
+ WHEN x.task IS DISTINCT FROM p.task THEN 'task' WHEN lower(trim(x.domain)) IS DISTINCT FROM p.domain THEN 'domain' WHEN grade.status IS NOT NULL AND grade.status NOT IN ('valid', 'error') THEN 'grade status'
+ WHEN grade.status = 'valid' AND NOT coalesce(grade.score IS NOT NULL AND NOT isnan(grade.score) AND grade.score BETWEEN 0 AND 1, false) THEN 'score' WHEN grade.status = 'valid' AND p.bin AND grade.passed IS NULL THEN 'no verdict' END AS issue FROM x LEFT JOIN planned p ON p.id = x.id)
+SELECT * FROM y WHERE issue IS NOT NULL""")
+def q_integrity(t):
+    stored = protocol.compact_records(t("samples").filter("id is not null"))
+    return protocol.integrity_issues(stored, _planned(t), N)
+
+
+@query(f"""WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY stored_at DESC, finished_at DESC, run DESC) AS rn FROM samples WHERE id IS NOT NULL AND sample IS NOT NULL) WHERE rn = 1)
+SELECT id, sample, grade.status AS status, coalesce(len(turns), 0)::INT AS n, coalesce(list_sum(list_transform(turns, lambda t: coalesce(t.response.request.max_tokens, 0))), 0)::BIGINT AS caps, coalesce(len(list_filter(turns, lambda t: regexp_full_match(coalesce(t.response.text, ''), '[\s\p{{Z}}]*'))), 0)::INT AS empty FROM l""")
+def q_compact_records(t):
+    d = protocol.compact_records(_last(t))
+    caps = F.coalesce(F.expr("aggregate(turns, 0L, (a, x) -> a + coalesce(x.output_cap, 0))"), F.lit(0))
+    return d.select("id", "sample", "status", F.coalesce(F.size("turns"), F.lit(0)).alias("n"), caps.alias("caps"), F.coalesce(F.size(F.filter("turns", lambda x: x["empty"])), F.lit(0)).alias("empty"))
+
+
 # --- screening, admission, selection --------------------------------------------------------------------------------
 
 

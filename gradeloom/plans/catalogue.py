@@ -187,20 +187,6 @@ def q_operations_totals(t):
     )
 
 
-@query(f"WITH {REC} SELECT id, sample, 'valid grade without turns' AS issue FROM rec WHERE valid AND n_turns = 0 UNION ALL SELECT id, sample, 'capped but scored' FROM rec WHERE valid AND capped AND (score <> 0 OR coalesce(passed, false))")
-def q_policy_violations(t):
-    r = _rec(t).filter("valid")
-    part = lambda cond, name: r.filter(cond).select("id", "sample", F.lit(name).alias("issue"))
-    return part("n_turns = 0", "valid grade without turns").unionByName(part("capped and (score <> 0 or coalesce(passed, false))", "capped but scored"))
-
-
-@query(f"WITH {REC}, s AS (SELECT id, min(task) AS task, min(lower(trim(domain))) AS domain FROM splits GROUP BY id) SELECT r.id, r.sample, CASE WHEN s.id IS NULL THEN 'unexpected id' WHEN r.task IS DISTINCT FROM s.task THEN 'task' ELSE 'domain' END AS issue FROM rec r LEFT JOIN s ON s.id = r.id WHERE s.id IS NULL OR r.task IS DISTINCT FROM s.task OR r.domain IS DISTINCT FROM s.domain")
-def q_integrity(t):
-    s = t("splits").groupBy("id").agg(F.min("task").alias("t2"), F.min(F.lower(F.trim("domain"))).alias("d2"), F.lit(1).alias("_s"))
-    j = _rec(t).join(s, "id", "left")
-    issue = F.when(F.col("_s").isNull(), "unexpected id").when(~F.col("task").eqNullSafe(F.col("t2")), "task").when(~F.col("domain").eqNullSafe(F.col("d2")), "domain")
-    return j.select("id", "sample", issue.alias("issue")).filter("issue is not null")
-
 
 # --- identities, selection, splits --------------------------------------------------------------------------------
 
@@ -295,7 +281,13 @@ def q_family_keys(t):
     return t("splits").select("id", family_keys(F.col("family_id"), first, F.col("family_aliases")).alias("keys"))
 
 
-@query()
+@query(r"""WITH d AS (SELECT min(doc_id) AS class_id, text FROM documents WHERE text IS NOT NULL GROUP BY text),
+w AS (SELECT class_id, regexp_extract_all(regexp_replace(lower(text), '([㐀-䶿一-鿿豈-﫿])', ' \1 ', 'g'), '[\p{L}\p{N}_]+') AS w FROM d),
+s AS (SELECT class_id, list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) AS sh FROM w WHERE len(w) > 0),
+e AS (SELECT class_id, len(sh) AS n, unnest(sh) AS k FROM s),
+p AS (SELECT a.class_id AS a, b.class_id AS b FROM e a JOIN e b ON a.k = b.k AND a.class_id < b.class_id GROUP BY 1, 2 HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*))::DOUBLE >= 0.8),
+l AS (SELECT id, count(*) AS links FROM (SELECT a AS id FROM p UNION ALL SELECT b FROM p) GROUP BY 1)
+SELECT doc_id, class_id, coalesce(links, 0) AS links FROM documents JOIN d USING (text) LEFT JOIN l ON l.id = class_id""")
 def q_near_dup_classes(t):
     return overlap.near_classes(t("documents"), "doc_id", "text")
 

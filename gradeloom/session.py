@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,16 +43,37 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     back._cut_path = path
+    _MADE.append(path)
     return back
 
 
+#: Tables that cut() wrote in this process and that are still there.
+_MADE: list[str] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _MADE:
+        _MADE.remove(path)
+
+
 def drop_cut(df: DataFrame) -> None:
     """Delete the table behind a cut() that nothing reads any more."""
     path = getattr(df, "_cut_path", None)
     if path:
-        jvm, sc = df.sparkSession._jvm, df.sparkSession.sparkContext
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        _delete(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that cut() writes inside are deleted at the end. Results are lazy, so write or collect them inside."""
+    before = set(_MADE)
+    try:
+        yield
+    finally:
+        for path in [p for p in _MADE if p not in before]:
+            _delete(spark, path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -148,9 +148,10 @@ def percent(c: Column) -> Column:
     return F.bround(100 * c, 2)
 
 
-def compare_runs(metrics: DataFrame, domains: list[str]) -> DataFrame:
-    """One row per run, best first, runs without a score last: `place`, run, aggregate, its pass@k, every domain's score. metrics:
-    run, metrics. An aggregate that an old file lacks is the mean of its domains. Percentages; what a run lacks is null."""
+def compare_runs(metrics: DataFrame, domains: list[str], root: str = "") -> DataFrame:
+    """One row per run, best first, runs without a score last: `place`, run, aggregate, its pass@k by k, every domain's score and
+    pass@k, what the run was (model and its path below root, judge, split, tasks, limit, samples, context, sampling), truncated samples
+    and errors. metrics: run, metrics and, if there are any, config (JSON text) and launch (a map of settings). An aggregate that an old file lacks is the mean of its domains. Percentages; what a run lacks is null."""
     from pyspark.sql import Window
 
     v = F.try_parse_json("metrics")
@@ -160,10 +161,25 @@ def compare_runs(metrics: DataFrame, domains: list[str]) -> DataFrame:
     rebuilt = F.when(F.size(have) > 0, 100 * F.aggregate(have, F.lit(0.0), lambda a, x: a + x) / F.size(have))
     ks = F.try_variant_get(v, "$.pass_k", "array<int>")
     passes = F.try_variant_get(v, "$.aggregate_pass_at_k", "map<string,double>")
-    d = metrics.select("run", F.bround(F.coalesce(num("$.aggregate_score_0_100"), rebuilt), 2).alias("aggregate"), F.transform(F.array_sort(ks), lambda k: F.struct(k.alias("k"), F.bround(F.try_element_at(passes, k.cast("string")), 2).alias("score"))).alias("pass_at_k"), *[percent(s).alias(n) for n, s in zip(domains, scores)])
+    cfg = F.try_variant_get(F.try_parse_json("config"), "$.config", "variant") if "config" in metrics.columns else F.lit(None).cast("variant")
+    conf = lambda p, of="string": F.try_variant_get(cfg, p, of)
+    launch = lambda k: F.try_element_at("launch", F.lit(k)) if "launch" in metrics.columns else F.lit(None).cast("string")
+    model = F.coalesce(conf("$.MODEL_NAME"), launch("MODEL_NAME"))
+    what = {
+        "model_path": F.coalesce(F.nullif(short_path(launch("MODEL_PATH"), root), F.lit("")), model), "model": model, "judge": F.coalesce(conf("$.JUDGE_NAME"), launch("JUDGE_NAME")), "split": conf("$.SPLIT"), "tasks": F.coalesce(F.nullif(conf("$.TASKS"), F.lit("")), F.lit("all")),
+        "limit_per_task": conf("$.LIMIT_PER_TASK", "int"), "n_samples": F.try_variant_get(v, "$.n_samples", "int"), "model_context": conf("$.MODEL_CONTEXT", "int"), "temperature": conf("$.MODEL_SAMPLING.temperature", "double"), "top_p": conf("$.MODEL_SAMPLING.top_p", "double"), "top_k": conf("$.MODEL_SAMPLING.top_k", "int"),
+        "complete": F.coalesce(F.try_variant_get(v, "$.aggregate_complete", "boolean"), F.try_variant_get(v, "$.valid_full_benchmark", "boolean")), "truncated": F.try_variant_get(v, "$.truncated_samples", "int"), "errors": F.try_variant_get(v, "$.infrastructure_errors", "int"),
+    }
+    by_k = lambda p: F.transform_values(F.map_filter(F.try_variant_get(v, p, "map<string,double>"), lambda k, x: x.isNotNull()), lambda k, x: F.bround(100 * x, 2))
+    d = metrics.select("run", F.bround(F.coalesce(num("$.aggregate_score_0_100"), rebuilt), 2).alias("aggregate"), F.transform(F.array_sort(ks), lambda k: F.struct(k.alias("k"), F.bround(F.try_element_at(passes, k.cast("string")), 2).alias("score"))).alias("pass_at_k"), *[percent(s).alias(n) for n, s in zip(domains, scores)], *[by_k(f"$.domains.{n}.pass").alias(f"{n}_pass") for n in domains], *[c.alias(n) for n, c in what.items()])
     return d.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("aggregate"), "run")))
 
 
+def pct(value: float | None) -> str:
+    """41.2%, or a dash where there is no value."""
+    return "\u2014" if value is None else f"{100 * value:.1f}%"
+
+
 def clock(seconds: float) -> str:
     """1h02m or 3m04s."""
     s = int(seconds)

@@ -40,3 +40,25 @@ def test_schema_validation():
     assert S.malformed(s) is None and S.malformed({"type": "text"}) and S.malformed({"properties": {"a": 1}}) and S.malformed({"required": "a"})
     assert S.unsatisfiable("csv", {"type": "array", "items": {"type": "object", "properties": {"a": {"type": "object", "properties": {}}}}}) and S.unsatisfiable("toml", {"type": "array"}) and S.unsatisfiable("json", s) is None
     assert S.typed_rows([{"n": "4", "b": "TRUE", "z": ""}], {"type": "object", "properties": {"n": {"type": ["null", "integer"]}, "b": {"type": "boolean"}, "z": {"type": "null"}}}) == {"n": 4, "b": True, "z": None}
+
+
+def test_rubric_stage(spark):
+    assert R.rubric_question("Conversation ... Does the model's final response satisfy this criterion? Is it short? Expected answer: YES") == "Does the model's final response satisfy this criterion? Is it short?" and R.rubric_question("Is it?") == "Is it?"
+    one = '{"checks": [{"content": "a?", "pass_criteria": "YES"}, {"content": "b?", "pass_criteria": "NO"}]}'
+    many = '{"checks": [{"content": "a?"}, {"content": "b?"}, {"content": "c?", "pass_criteria": "NO"}]}'
+    df = spark.createDataFrame([(1, [("user", "q")], "t", one), (2, [("user", "q")], "t", many), (3, [("user", "q")], "bad", one)], "k int, messages array<struct<role:string,content:string>>, text string, verification string")
+
+    def ask(batch):
+        out = []
+        for said in batch:
+            case = said[1]["content"]
+            if '"bad"' in case:
+                out.append({"text": "?"})
+            elif "criteria" in case:
+                out.append({"text": '```json\n{"verdicts": [true, true, false], "reason": "r"}\n```'})
+            else:
+                out.append({"text": '{"verdict": %s, "reason": "r"}' % ("true" if "a?" in case else "false")})
+        return out
+
+    got = {r.k: (r.status, r.score, r.passed) for r in R.grade_rubrics(df, ["k"], ask).collect()}
+    assert got == {1: ("valid", 1.0, True), 2: ("valid", 1.0, True), 3: ("error", None, None)}
