@@ -46,7 +46,12 @@ def test_ties_and_split(spark):
     assert sorted((x.group_id, x.family_id) for x in G.tied_families(df).collect()) == [("A", "A"), ("A", "B"), ("C", "C"), ("C", "D")]
     assert G.tied_families(df.limit(0)).count() == 0 and G.grouped_split(df.limit(0)).count() == 0
     got = {x.id: x.new_split for x in G.grouped_split(df).collect()}
-    assert set(got) == set("123456") and got["1"] == got["2"] and got["3"] == got["4"]
+    # 6 has no family, but names A
+    assert set(got) == set("123456") and got["1"] == got["2"] == got["6"] and got["3"] == got["4"]
+    b = G.broken_ties(df, G.grouped_split(df)).first()
+    assert (b.records, b.ids, b.crossed) == (6, 6, 0)
+    wrong = G.grouped_split(df).withColumn("new_split", F.col("id"))
+    assert G.broken_ties(df, wrong).first().crossed == 3
 
 
 def test_split_proportions(spark):
@@ -68,6 +73,28 @@ def test_largest_differencing():
     sums = np.bincount(b, w, 20)
     assert sums.max() - sums.min() <= 2 and len(b) == 3000
     assert len(G.largest_differencing(np.zeros(0), 5)) == 0
+    # the textbook case: 8 7 6 5 4 into two bins of 16 and 14
+    two = np.bincount(G.largest_differencing(np.array([8.0, 7, 6, 5, 4]), 2), [8, 7, 6, 5, 4])
+    assert sorted(two) == [14, 16] and sorted(np.bincount(G.largest_differencing(np.array([5.0, 1]), 4), [5, 1], 4)) == [0, 0, 1, 5]
+
+
+def test_bins_of_chunks_are_differenced(spark):
+    r = np.random.default_rng(5)
+    rows = [(s, c, b, int(r.integers(1, 90))) for s in "xy" for c in range(7) for b in range(10)]
+    df = spark.createDataFrame(rows, "stratum string, chunk long, bin long, weight long")
+    at = G.combined(df, 10, 3).toPandas()
+    assert len(at) == len(rows) and set(at["slot"]) == set(range(10))
+    for _, g in at.groupby("stratum"):
+        sums = g.groupby("slot")["weight"].sum()
+        assert (g.groupby(["chunk", "slot"]).size() == 1).all() and sums.max() - sums.min() <= 25
+    assert G.combined(df.limit(0), 10, 3).count() == 0
+
+
+def test_hub_beyond_the_hot_limit(spark, monkeypatch):
+    monkeypatch.setattr(G, "HOT_ROWS", 20)
+    edges = [("hub", f"h{i:03d}") for i in range(70)] + [(f"h{i:03d}", f"k{i:03d}") for i in range(0, 70, 7)] + [("p", "q")]
+    got = {x.node: x.root for x in G.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == union_find(edges)
 
 
 RANKS = Q.RANKS
@@ -88,6 +115,9 @@ def test_mix(spark):
     b = [(x.doc_id, x.copy) for x in M.shuffled_copies(M.mix(df.repartition(5), t, RANKS)[0]).collect()]
     assert a == b and len(a) == len(set(a)) == sum(x.copies for x in chosen.collect())
     assert M.mix(df.limit(0), t, RANKS)[0].count() == 0
+    kept = {x.source: x for x in M.mix(df, t, RANKS, keep_shares=True)[1].collect()}
+    assert kept["TINY"].falls_short and all(abs(kept[s].share - w) < 0.04 for s, w in (("big", 0.4), ("small_one", 0.3), ("TINY", 0.3)))
+    assert abs(r["big"].share_of_total - 0.4) < 0.04 < r["big"].share - r["big"].share_of_total
 
 
 def test_poisson_inversion():

@@ -20,3 +20,12 @@ def test_only_lines_of_code_are_masked(text, want):
 ])
 def test_single_fields_short_filler_and_long_notices(text, want):
     assert defect(text) == want
+
+
+def test_density_and_explanations():
+    filling = " ".join(f"The {x} measures its own length before noon and after." for x in ("lamp", "river", "wall", "coat", "horse") * 100)
+    assert defect(filling + " As [Smith] and [Jones] wrote, it holds. ") is None and defect("As [Smith] told [Jones], it holds.") == "placeholder"
+    assert defect(filling + " Dear {{ name }}, we thank you. " + filling) == "placeholder"
+    assert defect("In the template syntax {{ name }} is replaced by the value of the variable. Try it out.") is None
+    assert defect("With Jinja you write {{ user }} and it gets rendered as text. The rest of the lesson follows.") is None
+    assert defect("lorem " * 3 + "ipsum dolor amet sed do eiusmod tempor") == "filler" and defect("no no no no no no no no no") == "filler" and defect("1 1 1 1 1 1 1 1 1 1") is None

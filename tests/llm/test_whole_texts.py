@@ -38,3 +38,13 @@ def test_endings_count_every_response(spark):
 
 def test_language_model_counts_pairs():
     assert len(P.Languages._codes(["abc"])[0]) == 3 + 2 + 1
+
+
+def test_hot_prompts_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(P, "HOT_TURNS", 10)
+    splits = spark.createDataFrame([("hot", "en", 1, [("user", "How many red boxes does the old shop keep after noon?")], None), ("cold", "en", 1, [("user", "Which river runs behind the green mill?")], None)], "id string, language string, loaded_at int, messages array<struct<role string, content string>>, turns array<struct<message string>>")
+    said = lambda q: [(None, (q, "stop"))]
+    rows = [("hot", i, said("How many red boxes does the old shop keep after noon?")) for i in range(60)] + [("cold", 0, said("Which river runs behind the green mill?")), ("gone", 0, said("Nothing is known of it."))]
+    df = spark.createDataFrame(rows, "id string, sample int, turns array<struct<prompt array<struct<role string, content string>>, response struct<text string, finish_reason string>>>")
+    got = {(r.id, r.sample): r.defect for r in P.pair_defects(df, splits).collect()}
+    assert got == {("hot", i): "copy" for i in range(60)} | {("cold", 0): "copy"}
