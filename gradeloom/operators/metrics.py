@@ -154,10 +154,10 @@ def joined_text() -> Column:
 def repeated_grams(df: DataFrame, text: str, out: str, size: int = 4) -> DataFrame:
     """df with 1 - distinct / all runs of `size` words; 0 for fewer words."""
     words = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"(?U)[\s\x1c-\x1f]+"), lambda w: w != "")
-    d = df.withColumn("_w", words)  # a column of its own: the lambda below must not compute it again
-    n = F.size("_w") - size + 1
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.array_join(F.slice("_w", i, F.lit(size)), " "))
-    return d.withColumn(out, F.when(n < 1, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(grams)) / n)).drop("_w")
+    # the words are bound to the outer lambda's variable, so they are computed once per row and not once per run
+    runs = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(size)), " "))
+    share = lambda w: F.when(F.size(w) < size, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(runs(w))) / (F.size(w) - size + 1))
+    return df.withColumn(out, F.get(F.transform(F.array(words), share), F.lit(0)))
 
 
 def _watched(rec: DataFrame, samples: DataFrame) -> DataFrame:

@@ -158,13 +158,13 @@ def q_error_messages(t):
 
 
 _V = "CASE WHEN {0} IS NOT NULL AND NOT isnan({0}::DOUBLE) AND {0} >= 0 AND {0}::DOUBLE < 'infinity'::DOUBLE THEN {0}::DOUBLE END"
-_DIST = """count(v) AS n, count(*) - count(v) AS missing, round(sum(v), 4) AS total, round(min(v), 4) AS least, round(max(v), 4) AS most, round(avg(v), 4) AS mean, round(stddev_pop(v), 4) AS deviation, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.9), 4) AS p90, round(quantile_cont(v, 0.95), 4) AS p95, round(quantile_cont(v, 0.99), 4) AS p99"""
+_DIST = """count(v) AS n, count(*) - count(v) AS missing, round(sum(v), 6) AS total, round(min(v), 6) AS least, round(max(v), 6) AS most, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS deviation, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.9), 6) AS p90, round(quantile_cont(v, 0.95), 6) AS p95, round(quantile_cont(v, 0.99), 6) AS p99"""
 _NUMBERS = {"prompt_tokens": "x.response.usage.prompt_tokens", "completion_tokens": "x.response.usage.completion_tokens", "reasoning_tokens": "x.response.usage.reasoning_tokens", "latency": "x.response.latency", "grading_seconds": "x.grading_seconds"}
 _CAPPED = f"{_V.format('x.response.usage.completion_tokens')} / nullif({_V.format('x.response.request.max_tokens')}, 0)"
 
 
 @query(f"""{_AUDIT}, o AS (SELECT planned.domain, x FROM (SELECT id, unnest(turns) AS x FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY stored_at DESC, finished_at DESC, run DESC) AS rn FROM samples WHERE id IS NOT NULL AND sample >= 0 AND sample < {N}) WHERE rn = 1) JOIN planned USING (id) WHERE x.response IS NOT NULL),
-e AS ({" UNION ALL ".join(f"SELECT domain, '{n}' AS number, {_V.format(c)} AS v FROM o" for n, c in _NUMBERS.items())} UNION ALL SELECT domain, 'cap_used', {_CAPPED} FROM o) SELECT domain, number, {_DIST} FROM e GROUP BY domain, number""", places=4)
+e AS ({" UNION ALL ".join(f"SELECT domain, '{n}' AS number, {_V.format(c)} AS v FROM o" for n, c in _NUMBERS.items())} UNION ALL SELECT domain, 'cap_used', {_CAPPED} FROM o) SELECT domain, number, {_DIST} FROM e GROUP BY domain, number""")
 def q_turn_distributions(t):
     return metrics.distribution(protocol.turn_numbers(_expected(t)[2]), "value", ["domain", "number"])
 
