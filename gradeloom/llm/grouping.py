@@ -30,30 +30,33 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = edges.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).filter("u is not null and v is not null and u <> v").distinct()
     # invariant from here on: u < v
     e = cut(e, "cc")
+    mark = lambda d: d.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    state = mark(e)
     for _ in range(max_rounds):
         # large star: every larger neighbour of x is linked to the smallest of x and its neighbours
         both = e.select(F.col("u").alias("x"), F.col("v").alias("y")).union(e.select(F.col("v").alias("x"), F.col("u").alias("y")))
         least = both.groupBy("x").agg(F.min("y").alias("m"), F.count("*").alias("n")).select("x", F.least("x", "m").alias("m"), "n")
-        large = _with_least(both.filter("y > x"), least).select(F.col("m").alias("u"), F.col("y").alias("v")).filter("u <> v").distinct()
+        large = _with_least(both.filter("y > x"), least, state.n).select(F.col("m").alias("u"), F.col("y").alias("v")).filter("u <> v").distinct()
         # small star: every smaller neighbour of x, and x, are linked to the smallest neighbour
         least = large.groupBy(F.col("v").alias("x")).agg(F.min("u").alias("m"), F.count("*").alias("n"))
-        lower = _with_least(large.select(F.col("v").alias("x"), F.col("u").alias("y")), least)
+        lower = _with_least(large.select(F.col("v").alias("x"), F.col("u").alias("y")), least, state.n)
         new = lower.filter("y <> m").select(F.col("m").alias("u"), F.col("y").alias("v")).union(least.select(F.col("m").alias("u"), F.col("x").alias("v"))).distinct()
         new = cut(new, "cc")
         # done when all edges are the same as before: then each is a star
-        mark = lambda d: d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        same = mark(new) == mark(e)
+        before, state = state, mark(new)
         drop_cut(e)
         e = new
-        if same:
+        if state == before:
             break
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("v").alias("node"), F.col("u").alias("root")).union(e.select(F.col("u").alias("node"), F.col("u").alias("root"))).distinct()
 
 
-def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-    """edges(x, y) with the minimum m of x. least: x, m, n (edges of x)."""
+def _with_least(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """edges(x, y) with the minimum m of x. least: x, m, n (edges of x). most: edges that there are, so no more are at a hub."""
+    if most <= HOT_ROWS:
+        return edges.join(least.drop("n"), "x")
     hubs = cut(least.filter(F.col("n") > HOT_ROWS).select("x", "m"), "cc-hubs")
     if hubs.isEmpty():
         out = edges.join(least.drop("n"), "x")

@@ -86,7 +86,7 @@ def test_bins_of_chunks_are_differenced(spark):
     assert len(at) == len(rows) and set(at["slot"]) == set(range(10))
     for _, g in at.groupby("stratum"):
         sums = g.groupby("slot")["weight"].sum()
-        assert (g.groupby(["chunk", "slot"]).size() == 1).all() and sums.max() - sums.min() <= 25
+        assert (g.groupby(["chunk", "slot"]).size() == 1).all() and sums.max() - sums.min() <= 0.12 * sums.mean()
     assert G.combined(df.limit(0), 10, 3).count() == 0
 
 
@@ -117,7 +117,7 @@ def test_mix(spark):
     assert M.mix(df.limit(0), t, RANKS)[0].count() == 0
     kept = {x.source: x for x in M.mix(df, t, RANKS, keep_shares=True)[1].collect()}
     assert kept["TINY"].falls_short and all(abs(kept[s].share - w) < 0.04 for s, w in (("big", 0.4), ("small_one", 0.3), ("TINY", 0.3)))
-    assert abs(r["big"].share_of_total - 0.4) < 0.04 < r["big"].share - r["big"].share_of_total
+    assert abs(r["big"].share_of_total - 0.4) < 0.04 and r["big"].share - r["big"].share_of_total > 0.02
 
 
 def test_poisson_inversion():
