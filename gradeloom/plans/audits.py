@@ -198,7 +198,7 @@ def q_integrity(t):
 
 
 @query(f"""WITH l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, sample ORDER BY stored_at DESC, finished_at DESC, run DESC) AS rn FROM samples WHERE id IS NOT NULL AND sample IS NOT NULL) WHERE rn = 1)
-SELECT id, sample, grade.status AS status, coalesce(len(turns), 0)::INT AS n, coalesce(list_sum(list_transform(turns, lambda t: coalesce(t.response.request.max_tokens, 0))), 0)::BIGINT AS caps, coalesce(len(list_filter(turns, lambda t: regexp_full_match(coalesce(t.response.text, ''), '[\s\p{{Z}}]*'))), 0)::INT AS empty FROM l""")
+SELECT id, sample, grade.status AS status, coalesce(len(turns), 0)::INT AS n, coalesce(list_sum(list_transform(turns, lambda t: coalesce(t.response.request.max_tokens, 0))), 0)::BIGINT AS caps, coalesce(len(list_filter(turns, lambda t: regexp_full_match(coalesce(t.response.text, ''), '[\\s\\p{{Z}}]*'))), 0)::INT AS empty FROM l""")
 def q_compact_records(t):
     d = protocol.compact_records(_last(t))
     caps = F.coalesce(F.expr("aggregate(turns, 0L, (a, x) -> a + coalesce(x.output_cap, 0))"), F.lit(0))
