@@ -123,10 +123,12 @@ def group_validation(rec: DataFrame, n: int) -> DataFrame:
 
 
 def guarded_corr(x: str, y: str) -> Column:
-    """Pearson correlation; null for fewer than 3 pairs or no variance."""
+    """Pearson correlation; null for fewer than 3 pairs or no variance. Equal values are told by their extremes, as deviations merged
+    from several partitions can miss 0 by a rounding error."""
     both = F.col(x).isNotNull() & F.col(y).isNotNull()
     a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
-    return F.when(F.count_if(both) >= 3, F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0)))
+    varied = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+    return F.when((F.count_if(both) >= 3) & varied, F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0)))
 
 
 def wilson_upper(k: Column, n: Column, z: float = 1.96) -> Column:
@@ -161,10 +163,11 @@ def repeated_grams(df: DataFrame, text: str, out: str, size: int = 4) -> DataFra
 
 
 def _watched(rec: DataFrame, samples: DataFrame) -> DataFrame:
-    """Records with the repetition of their joined text and their tokens, missing ones counting 0 here."""
+    """Records with the repetition of their joined text, to the 6 places that it is reported with, and their tokens, missing ones
+    counting 0 here. Scaled before rounding, as SQL does it: a share just below a tie stays below."""
     tokens = F.expr("coalesce(aggregate(transform(turns, t -> coalesce(cast(t.response.usage.completion_tokens as bigint), 0)), 0L, (a, x) -> a + x), 0)")
     extra = repeated_grams(samples.select("id", "sample", joined_text().alias("_text"), tokens.alias("tokens")), "_text", "repetition").drop("_text")
-    return rec.join(extra, ["id", "sample"])
+    return rec.join(extra.withColumn("repetition", F.round(F.col("repetition") * 1e6) / 1e6), ["id", "sample"])
 
 
 def audit_queue(rec: DataFrame, samples: DataFrame, least: float = 0.75, n: int = 100) -> DataFrame:

@@ -36,5 +36,10 @@ def test_same_as_sql(spark, name):
     assert got == want
 
 
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_reliability_same_as_sql(spark):
+    test_same_as_sql(spark, "q_reliability")
+
+
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())

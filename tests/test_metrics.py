@@ -77,3 +77,36 @@ def test_repetition(spark):
     df = spark.createDataFrame([(1, "a b c d a b c d"), (2, "a b"), (3, None), (4, "x " * 5000)], "id int, t string")
     got = {r.id: r.v for r in M.repeated_grams(df, "t", "v").collect()}
     assert got[1] == 1 - 4 / 5 and got[2] == got[3] == 0.0 and got[4] > 0.99
+
+
+def watched(spark, rows):
+    """Records and samples of (id, domain, score, text, tokens)."""
+    r = rec(spark, [(i, 0, "t", d, "valid", s, None, False, k) for i, d, s, _, k in rows])
+    turn = "turns array<struct<response struct<text string, usage struct<completion_tokens int>>>>"
+    return r, spark.createDataFrame([(i, 0, [{"response": {"text": x, "usage": {"completion_tokens": k}}}]) for i, _, _, x, k in rows], f"id string, sample int, {turn}")
+
+
+def once_repeated(grams):
+    """A text of so many runs of 4 words, one of which stands twice."""
+    return " ".join([f"w{i}" for i in range(grams - 1)] + ["w0", "w1", "w2", "w3"])
+
+
+def test_no_variance_in_several_partitions(spark):
+    for n, parts, x in ((98, 2, 1.0), (107, 3, 0.7), (400, 3, 0.3)):
+        df = spark.range(0, n, 1, parts).select(F.lit(x).alias("x"), F.col("id").cast("double").alias("y"))
+        assert df.agg(M.guarded_corr("x", "y").alias("r"), M.guarded_corr("y", "x").alias("s")).first() == (None, None)
+
+
+def test_reliability_of_shares_as_reported(spark):
+    grams = (1600, 1900, 2600, 5000)  # their shares move by a thousandth when they are cut to 6 places
+    rows = [(str(n), "d", s, once_repeated(n), 1) for n, s in zip(grams, (0.0, 1.0, 0.25, 0.5))]
+    x, y = [r[2] for r in rows], [round(1 / n, 6) for n in grams]
+    mx, my = sum(x) / 4, sum(y) / 4
+    want = sum((a - mx) * (b - my) for a, b in zip(x, y)) / (sum((a - mx) ** 2 for a in x) * sum((b - my) ** 2 for b in y)) ** 0.5
+    got = M.reliability(*watched(spark, rows)).first()
+    assert abs(got.score_repetition - want) < 1e-9 and got.score_length is None and (got.samples, got.errors) == (4, 0)
+
+
+def test_audit_queue_of_shares_as_reported(spark):
+    r, s = watched(spark, [("a", "d", 1.0, once_repeated(1449), 5), ("b", "d", 1.0, once_repeated(1450), 9)])  # both 0.00069
+    assert [(x.id, x.repetition) for x in M.audit_queue(r, s).orderBy("place").collect()] == [("b", 0.00069), ("a", 0.00069)]
